@@ -24,15 +24,22 @@ def latest_snapshot(df: DataFrame, date_col: str = "dt", by: Sequence[str] = ())
     """Keep the rows whose ``date_col`` equals its maximum.
 
     Without ``by`` the maximum is a scalar subquery: one tiny aggregate job
-    whose value filters the scan, no join and no driver round trip.  With
-    ``by`` the per-group maxima (one row per group) are semi-joined back on
-    ``(*by, date_col)``; AQE broadcasts them at run time when they are small.
+    whose value filters the scan (and prunes ``dt`` partitions), no join and
+    no driver round trip.  With ``by`` (low-cardinality keys such as the
+    category) the per-group maxima are semi-joined back on
+    ``(*by, date_col)`` as a size-checked broadcast, so the table itself is
+    never shuffled for the filter.
     """
     if not by:
         newest = df.agg(F.max(date_col)).scalar()
         return df.filter(F.col(date_col) == newest)
-    newest = df.groupBy(*by).agg(F.max(date_col).alias(date_col))
-    return df.join(newest, [*by, date_col], "left_semi")
+    return df.join(group_max(df, date_col, by), [*by, date_col], "left_semi")
+
+
+def group_max(df: DataFrame, date_col: str, by: Sequence[str]) -> DataFrame:
+    """``(*by, date_col)`` with the maximum per group, as a checked broadcast."""
+    from rivalry.functions.joins import checked_broadcast
+    return checked_broadcast(df.groupBy(*by).agg(F.max(date_col).alias(date_col)))
 
 
 def trailing(df: DataFrame, date_col: str, end, days: int, end_inclusive: bool = True) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivalry.functions.dates import trailing
+from rivalry.functions.joins import checked_broadcast
 from rivalry.functions.numeric import ratio
 from rivalry.params import CHANNELS, SESSION_DAYS
 
@@ -34,9 +35,11 @@ def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSI
     log = log.filter(F.col("session_id").isNotNull() & F.col("bs").isin(*channels))
     if categories is not None:
         log = log.filter(F.col("cid3").isin(*categories))
-    known = brands.select("brand_code")
-    log = log.join(known, "brand_code", "left_semi")
-    return log.groupBy(*GROUP_KEYS, "brand_code").agg(F.count(F.lit(1)).alias("k"))
+    counts = log.groupBy(*GROUP_KEYS, "brand_code").agg(F.count(F.lit(1)).alias("k"))
+    # The known-brand list is a dimension (one row per brand): broadcast
+    # after a size check, applied to the pre-aggregated counts.
+    known = checked_broadcast(brands.select("brand_code").distinct())
+    return counts.join(known, "brand_code", "left_semi")
 
 
 def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSION_DAYS,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivalry.functions.dates import window_predicate
+from rivalry.functions.joins import checked_broadcast
 from rivalry.functions.numeric import GMV_TYPE
 from rivalry.params import GMV_DAYS
 
@@ -25,25 +26,22 @@ def sku_gmv(order_det: DataFrame, *, end, days: int = GMV_DAYS,
 
     ``end`` is a date (the same window for every category) or a frame
     ``(cid3, dt)`` giving each category its own window end (the latest
-    switching snapshot of that category).  In the second case the per-category
-    ends become one scalar subquery — a map with one entry per category plus
-    the overall bounds — evaluated once and applied as a filter on the order
-    scan.  The order lines are never joined or shuffled for it; the only
-    shuffle is the partially aggregated SKU sums.
+    switching snapshot of that category).  In the second case the ends are a
+    size-checked broadcast: the overall bounds (two scalar subqueries over
+    it) filter the order scan and prune its ``dt`` partitions, and each line
+    is matched to its category's end by a broadcast hash join.  Order lines
+    are never shuffled; the only shuffle is the partially aggregated SKU sums.
     """
     od = order_det.filter(F.col("amount") > 0)
     if categories is not None:
         od = od.filter(F.col("cid3").isin(*categories))
     if isinstance(end, DataFrame):
-        ends = end.select("cid3", F.col("dt").alias("end_dt"))
-        bounds = ends.agg(F.struct(
-            F.min("end_dt").alias("lo"), F.max("end_dt").alias("hi"),
-            F.map_from_entries(F.collect_list(F.struct("cid3", "end_dt"))).alias("by_cid3"),
-        ).alias("b")).scalar()
-        own_end = F.try_element_at(bounds.getField("by_cid3"), F.col("cid3"))
-        od = od.filter((F.col("dt") >= F.date_sub(bounds.getField("lo"), days))
-                       & (F.col("dt") <= bounds.getField("hi"))
-                       & window_predicate(F.col("dt"), own_end, days))
+        ends = checked_broadcast(end).select("cid3", F.col("dt").alias("end_dt"))
+        lo = ends.agg(F.min("end_dt")).scalar()
+        hi = ends.agg(F.max("end_dt")).scalar()
+        od = (od.filter((F.col("dt") >= F.date_sub(lo, days)) & (F.col("dt") <= hi))
+                .join(ends, "cid3")
+                .filter(window_predicate(F.col("dt"), F.col("end_dt"), days)))
     else:
         od = od.filter(window_predicate(F.col("dt"), end, days))
     return od.groupBy("cid3", "sku_id").agg(F.sum("amount").cast(GMV_TYPE).alias("gmv"))

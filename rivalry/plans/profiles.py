@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivalry.functions.dates import latest_snapshot
+from rivalry.functions.dates import group_max, latest_snapshot
 from rivalry.operators.flow import competition_measures, scale_0_100, spend_flow
 from rivalry.operators.segments import brand_labels, category_list, market_labels, sku_gmv
 from rivalry.params import BRAND_DOMAIN, GMV_DAYS
@@ -25,8 +25,8 @@ def latest_switching(switch: DataFrame, categories: Sequence[str] | None = None)
     """
     if categories is not None:
         switch = switch.filter(F.col("cid3").isin(*categories))
-    ends = switch.groupBy("cid3").agg(F.max("dt").alias("dt"))
-    return latest_snapshot(switch, "dt", by=["cid3"]), ends
+    ends = group_max(switch, "dt", ["cid3"])
+    return switch.join(ends, ["cid3", "dt"], "left_semi"), ends
 
 
 def brand_flow_inputs(sku_dim: DataFrame, switch: DataFrame, order_det: DataFrame, *,

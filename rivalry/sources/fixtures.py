@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivalry.functions.numeric import AMOUNT_TYPE, GMV_TYPE
@@ -87,11 +87,12 @@ def sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
     n = (a.join(b, ["yr", "okey", "cid3"])
           .groupBy("yr", "cid3", "src_item_id", "dst_item_id")
           .agg(F.sum(F.col("ka") * F.col("kb")).alias("n")))
-    tot = n.groupBy("yr", "cid3", "src_item_id").agg(F.sum("n").alias("tot"))
+    # A source SKU's partners are bounded by the SKUs it shares orders with.
+    tot = F.sum("n").over(Window.partitionBy("yr", "cid3", "src_item_id"))
     q = F.expr(f"(n * {PROB_SCALE}) div tot")
     prob = (q.cast("double") / PROB_SCALE).cast("decimal(10,6)")
     snap = F.when(F.col("yr") == SWITCH_YEARS[0], F.lit(STALE_SWITCH_DATE)).otherwise(F.lit(ORDER_RUN_DATE))
-    return (n.join(tot, ["yr", "cid3", "src_item_id"])
+    return (n.withColumn("tot", tot)
              .select("cid3", "src_item_id", "dst_item_id",
                      prob.alias("switching_prob"), snap.alias("dt")))
 

@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CACHE_ATTR = "_rivalry_tables"
+
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """``{data_dir}/{name}.parquet`` (a file or a folder of parts).
 
     Projection and filters applied later are pushed into this scan by
-    Catalyst, so callers select only the columns they need.
+    Catalyst, so callers select only the columns they need.  The relation
+    (file listing and footer schema) is resolved once per session and path;
+    the returned DataFrame is an immutable plan, shared by every query that
+    reads the table.
     """
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    cache = getattr(spark, _CACHE_ATTR, None)
+    if cache is None:
+        cache = {}
+        setattr(spark, _CACHE_ATTR, cache)
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
