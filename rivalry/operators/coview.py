@@ -8,8 +8,14 @@ The naive form self-joins raw clicks, which is quadratic in the clicks of a
 session.  Here clicks are first counted per (session, channel, day,
 category, brand) — a map-side-combined aggregate — and the counts are
 self-joined, contributing ``k_A · k_B`` per group.  The join then emits one
-row per brand pair of a session, the least the result needs; a hot session
-is bounded by its number of brands, and AQE splits a skewed join partition.
+row per brand pair of a session, the least the result needs.
+
+A hot group (a bot session clicking through a whole category) is small in
+bytes after the count but emits brands² pairs, which AQE cannot see as skew.
+Groups with more than ``hot_brands`` brands are therefore split: their
+left-side rows go to one of ``salt_buckets`` buckets by brand hash and their
+right-side rows are replicated to every bucket, so each pair is still formed
+exactly once but by ``salt_buckets`` tasks.  Other groups use bucket 0 only.
 """
 
 from __future__ import annotations
@@ -25,6 +31,9 @@ from rivalry.functions.numeric import ratio
 from rivalry.params import CHANNELS, SESSION_DAYS
 
 GROUP_KEYS = ["session_id", "bs", "request_dt", "cid3"]
+# Split the pair generation of groups with more brands than this.
+HOT_GROUP_BRANDS = 2_000
+SALT_BUCKETS = 32
 
 
 def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSION_DAYS,
@@ -44,7 +53,8 @@ def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSI
 
 def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSION_DAYS,
                   channels: Sequence[str] = CHANNELS, categories: Sequence[str] | None = None,
-                  by_category: bool = True, end_inclusive: bool | None = None) -> DataFrame:
+                  by_category: bool = True, end_inclusive: bool | None = None,
+                  hot_brands: int = HOT_GROUP_BRANDS, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Brand→brand co-view switching.
 
     ``by_category=True`` (D14): window end inclusive, output per category
@@ -62,10 +72,17 @@ def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESS
         end_inclusive = by_category
     counts = brand_counts(clicks, brands, end=end, days=days, end_inclusive=end_inclusive,
                           channels=channels, categories=categories)
-    a = counts.select(*GROUP_KEYS, F.col("brand_code").alias("from_brand_code"), F.col("k").alias("ka"))
-    b = counts.select(*GROUP_KEYS, F.col("brand_code").alias("to_brand_code"), F.col("k").alias("kb"))
+    # Brands per group: bounded by the brands of one category.
+    hot = F.count(F.lit(1)).over(Window.partitionBy(*GROUP_KEYS)) > hot_brands
+    counts = counts.withColumn("hot", hot)
+    a = counts.select(*GROUP_KEYS, F.col("brand_code").alias("from_brand_code"), F.col("k").alias("ka"),
+                      F.when(F.col("hot"), F.pmod(F.xxhash64("brand_code"), F.lit(salt_buckets)))
+                       .otherwise(F.lit(0)).alias("bucket"))
+    b = counts.select(*GROUP_KEYS, F.col("brand_code").alias("to_brand_code"), F.col("k").alias("kb"),
+                      F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                 .otherwise(F.array(F.lit(0)))).alias("bucket"))
     keys = ["cid3"] if by_category else []
-    pv = (a.join(b, GROUP_KEYS)
+    pv = (a.join(b, [*GROUP_KEYS, "bucket"])
            .groupBy(*keys, "from_brand_code", "to_brand_code")
            .agg(F.sum(F.col("ka") * F.col("kb")).alias("page_views_switch")))
     total_name = "from_brand_total_switch" if by_category else "from_shop_total_switch"

@@ -78,3 +78,12 @@ def test_probabilities_sum_to_one_and_counts_symmetric(spark, small_dir):
         pv[(r.cid3, r.from_brand_code, r.to_brand_code)] = r.page_views_switch
     assert all(t == pytest.approx(1.0) for t in tot.values())
     assert all(pv[(c, b, a)] == v for (c, a, b), v in pv.items())
+
+
+def test_hot_group_salting_is_exact(spark):
+    # Split every group (hot_brands=1) into 4 buckets: same counts as unsplit.
+    rows = [click(1, b) for b in "AABCC"] + [click(2, "B"), click(2, "C")]
+    plain = {k: r.page_views_switch for k, r in run(spark, rows).items()}
+    salted = {k: r.page_views_switch for k, r in run(spark, rows, hot_brands=1, salt_buckets=4).items()}
+    assert plain == salted
+    assert plain[("A", "C")] == 4 and plain[("C", "C")] == 5
