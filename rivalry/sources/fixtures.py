@@ -142,18 +142,23 @@ def sku_match(spark: SparkSession, data_dir: str) -> DataFrame:
     """One-directional matched SKU pairs (cid3_1, main_sku_id1, brand_code1, brand_name1, …2, dt).
 
     Stand-in matcher: a SKU matches the SKUs 1..MATCH_SPAN keys above it with
-    the same name and the same size mod 5.  The candidate keys are generated
-    per SKU and equi-joined, so each SKU has at most MATCH_SPAN partners.
+    the same name and the same size mod 5.  The band is joined through
+    buckets of MATCH_SPAN keys: a partner lies in the SKU's bucket or the
+    next, so partners are replicated into their own bucket and the one below
+    and equi-joined on (name, size mod 5, bucket) with the band as residual.
+    Each pair is formed once; each SKU has at most MATCH_SPAN partners.
     """
     p = read_table(spark, data_dir, "part").select(
         "p_partkey", "p_name", (F.col("p_size") % 5).alias("size5"), "p_type", "p_brand")
+    bucket = F.floor(F.col("p_partkey") / MATCH_SPAN)
     a = p.select(F.col("p_partkey").alias("main_sku_id1"), "p_name", "size5",
                  F.col("p_type").alias("cid3_1"), F.col("p_brand").alias("brand_code1"),
-                 F.explode(F.sequence(F.lit(1), F.lit(MATCH_SPAN))).alias("offset"))
-    a = a.withColumn("main_sku_id2", F.col("main_sku_id1") + F.col("offset"))
+                 bucket.alias("bucket"))
     b = p.select(F.col("p_partkey").alias("main_sku_id2"), "p_name", "size5",
-                 F.col("p_type").alias("cid3_2"), F.col("p_brand").alias("brand_code2"))
-    m = a.join(b, ["main_sku_id2", "p_name", "size5"])
+                 F.col("p_type").alias("cid3_2"), F.col("p_brand").alias("brand_code2"),
+                 F.explode(F.array(bucket, bucket - 1)).alias("bucket"))
+    gap = F.col("main_sku_id2") - F.col("main_sku_id1")
+    m = a.join(b, ["p_name", "size5", "bucket"]).filter(gap.between(1, MATCH_SPAN))
     return m.select(
         "cid3_1", "main_sku_id1", "brand_code1",
         F.concat(F.lit("Name of "), F.col("brand_code1")).alias("brand_name1"),
