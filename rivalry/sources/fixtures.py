@@ -4,19 +4,25 @@ The jobs consume a SKU dimension, SKU→SKU switching probabilities, order
 lines, SKU attributes, market definitions, a click log, matched SKU pairs,
 daily SKU sales, declared rival links and vendor shops.  Those come from
 upstream systems the library does not own; for testing they are derived
-from the TPC-H-style tables as specified in FIXTURES.md.  Each function
-returns a lazy DataFrame with the documented schema, so every query built on
-it reads (and scales with) the given tables.
+from the TPC-H-style tables as specified in FIXTURES.md.  Each input is
+derived by Spark from the whole given tables and, like the upstream table it
+stands in for, stored once per session as a parquet table under the
+session's checkpoint directory (the cluster's shared ``spark.checkpoint.dir``);
+queries read the stored table.  ``derive_<name>`` builds the lazy
+derivation without storing it.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivalry.functions.numeric import AMOUNT_TYPE, GMV_TYPE
+from rivalry.session import ensure_checkpoint_dir
 from rivalry.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -37,7 +43,7 @@ PROB_SCALE = 1_000_000
 # ---------------------------------------------------------------------------
 
 
-def sku_dim(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_sku_dim(spark: SparkSession, data_dir: str) -> DataFrame:
     """SKU dimension (sku_id, cid3, cid3_name, brand_code, brand_name, valid_flag, dt)."""
     p = read_table(spark, data_dir, "part")
     return p.select(
@@ -51,7 +57,7 @@ def sku_dim(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
-def order_det(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_order_det(spark: SparkSession, data_dir: str) -> DataFrame:
     """Order lines (sku_id, cid3, brand_code, okey, dt, amount decimal, qty)."""
     li = read_table(spark, data_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_quantity")
@@ -70,7 +76,7 @@ def order_det(spark: SparkSession, data_dir: str) -> DataFrame:
                       F.col("l_quantity").alias("qty")))
 
 
-def sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
     """SKU→SKU switching probabilities (cid3, src_item_id, dst_item_id, switching_prob, dt).
 
     Stand-in built from basket co-occurrence: for each year, n(src, dst) =
@@ -97,7 +103,7 @@ def sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
                      prob.alias("switching_prob"), snap.alias("dt")))
 
 
-def sku_attrs(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_sku_attrs(spark: SparkSession, data_dir: str) -> DataFrame:
     """I4: SKU attributes, long form (sku_id, cid3, attr_name, attr_value, web_id)."""
     p = read_table(spark, data_dir, "part")
     words = F.split(F.col("p_name"), " ")
@@ -110,7 +116,7 @@ def sku_attrs(spark: SparkSession, data_dir: str) -> DataFrame:
     return color.unionByName(shape)
 
 
-def market_defs(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_market_defs(spark: SparkSession, data_dir: str) -> DataFrame:
     """Market definitions (cid3, cid3_name, attr_name, attr_value, dt)."""
     a = sku_attrs(spark, data_dir)
     return (a.filter((F.col("web_id") == 0) & ~F.col("attr_value").isin(*EXCLUDED_MARKET_VALUES))
@@ -119,7 +125,7 @@ def market_defs(spark: SparkSession, data_dir: str) -> DataFrame:
              .distinct())
 
 
-def clicks(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_clicks(spark: SparkSession, data_dir: str) -> DataFrame:
     """Click log (sku_id, request_tm, request_dt, session_id, bs, brand_code, cid3, dt)."""
     ev = read_table(spark, data_dir, "events")
     p = read_table(spark, data_dir, "part").select(
@@ -138,7 +144,7 @@ def clicks(spark: SparkSession, data_dir: str) -> DataFrame:
         "sku_id", "request_tm", "request_dt", "session_id", "bs", "brand_code", "cid3", "dt")
 
 
-def sku_match(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_sku_match(spark: SparkSession, data_dir: str) -> DataFrame:
     """One-directional matched SKU pairs (cid3_1, main_sku_id1, brand_code1, brand_name1, …2, dt).
 
     Stand-in matcher: a SKU matches the SKUs 1..MATCH_SPAN keys above it with
@@ -167,14 +173,14 @@ def sku_match(spark: SparkSession, data_dir: str) -> DataFrame:
         F.lit(SIMILARITY_RUN_DATE).alias("dt"))
 
 
-def sku_sales(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_sku_sales(spark: SparkSession, data_dir: str) -> DataFrame:
     """I8: daily SKU sales (cid3, brand_code, sku_id, gmv decimal, sale_qtty, dt)."""
     return (order_det(spark, data_dir)
             .groupBy("cid3", "brand_code", "sku_id", "dt")
             .agg(F.sum("amount").cast(GMV_TYPE).alias("gmv"), F.sum("qty").alias("sale_qtty")))
 
 
-def declared_links(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_declared_links(spark: SparkSession, data_dir: str) -> DataFrame:
     """Vendor-declared rival URLs (vender_id, similarity_url)."""
     s = read_table(spark, data_dir, "supplier")
     url = F.concat(F.lit("https://shop"), ((F.col("s_suppkey") * 7 + 3) % 10).cast("string"),
@@ -182,9 +188,46 @@ def declared_links(spark: SparkSession, data_dir: str) -> DataFrame:
     return s.select(F.col("s_suppkey").alias("vender_id"), url.alias("similarity_url"))
 
 
-def vendor_shops(spark: SparkSession, data_dir: str) -> DataFrame:
+def derive_vendor_shops(spark: SparkSession, data_dir: str) -> DataFrame:
     """Vendor shops (vender_id, shop_url, dt)."""
     s = read_table(spark, data_dir, "supplier")
     url = F.concat(F.lit("http://shop"), F.col("s_suppkey").cast("string"), F.lit(".example.com"))
     return s.select(F.col("s_suppkey").alias("vender_id"), url.alias("shop_url"),
                     F.lit(SIMILARITY_RUN_DATE).alias("dt"))
+
+
+_STORE_ATTR = "_rivalry_inputs"
+
+
+def _stored(name: str, derive):
+    """Derive input ``name`` once per session and data directory, store it, read it back."""
+
+    @functools.wraps(derive)
+    def load(spark: SparkSession, data_dir: str) -> DataFrame:
+        store = getattr(spark, _STORE_ATTR, None)
+        if store is None:
+            store = {}
+            setattr(spark, _STORE_ATTR, store)
+        key = (data_dir.rstrip("/"), name)
+        if key not in store:
+            tag = hashlib.sha1(key[0].encode()).hexdigest()[:12]
+            path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-inputs/{tag}/{name}"
+            derive(spark, data_dir).write.mode("overwrite").parquet(path)
+            store[key] = spark.read.parquet(path)
+        return store[key]
+
+    load.__name__ = name
+    load.__doc__ = derive.__doc__
+    return load
+
+
+sku_dim = _stored("sku_dim", derive_sku_dim)
+order_det = _stored("order_det", derive_order_det)
+sku_switch = _stored("sku_switch", derive_sku_switch)
+sku_attrs = _stored("sku_attrs", derive_sku_attrs)
+market_defs = _stored("market_defs", derive_market_defs)
+clicks = _stored("clicks", derive_clicks)
+sku_match = _stored("sku_match", derive_sku_match)
+sku_sales = _stored("sku_sales", derive_sku_sales)
+declared_links = _stored("declared_links", derive_declared_links)
+vendor_shops = _stored("vendor_shops", derive_vendor_shops)

@@ -32,6 +32,15 @@ def test_scans_read_only_needed_columns(spark, small_dir):
 
 def test_click_window_filter_reaches_the_scan(spark, small_dir):
     plan = _plan(queries()["coview_by_category"](spark, small_dir))
-    scan = [line for line in plan.splitlines() if "events.parquet" in line]
+    scan = [line for line in plan.splitlines() if "FileScan" in line and "request_dt" in line]
+    assert scan and all("GreaterThanOrEqual(dt," in line and "LessThanOrEqual(dt," in line for line in scan)
+
+
+def test_derived_click_window_reaches_the_events_scan(spark, small_dir):
+    from rivalry.operators.coview import coview_switch
+    from rivalry.sources import fixtures as fx
+    df = coview_switch(fx.derive_clicks(spark, small_dir), fx.derive_sku_dim(spark, small_dir),
+                       end=fx.CLICK_RUN_DATE)
+    scan = [line for line in _plan(df).splitlines() if "events.parquet" in line]
     # dt = to_date(ts) in [end - 91, end] becomes a range on ts inside the scan.
     assert scan and all("GreaterThanOrEqual(ts," in line and "LessThan(ts," in line for line in scan)
