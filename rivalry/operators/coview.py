@@ -51,6 +51,35 @@ def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSI
     return counts.join(known, "brand_code", "left_semi")
 
 
+def _brand_pairs(counts: DataFrame, hot_brands: int, salt_buckets: int) -> DataFrame:
+    """(group keys, from_brand_code, ka, to_brand_code, kb) for every brand pair of a group.
+
+    The brand count per group is a window partitioned by the group keys;
+    cold groups then self-join on those same keys, so that join reuses the
+    window's partitioning and adds no shuffle.  Only rows of hot groups take
+    the salted path (left side bucketed by brand hash, right side replicated
+    to every bucket).
+    """
+    sized = counts.withColumn("n_brands", F.count(F.lit(1)).over(Window.partitionBy(*GROUP_KEYS)))
+
+    def sides(df, bucket_left, bucket_right):
+        a = df.select(*GROUP_KEYS, F.col("brand_code").alias("from_brand_code"), F.col("k").alias("ka"),
+                      *bucket_left)
+        b = df.select(*GROUP_KEYS, F.col("brand_code").alias("to_brand_code"), F.col("k").alias("kb"),
+                      *bucket_right)
+        return a, b
+
+    cold_a, cold_b = sides(sized.filter(F.col("n_brands") <= hot_brands), [], [])
+    cold = cold_a.join(cold_b, GROUP_KEYS)
+    hot = sized.filter(F.col("n_brands") > hot_brands)
+    hot_a, hot_b = sides(
+        hot,
+        [F.pmod(F.xxhash64("brand_code"), F.lit(salt_buckets)).alias("bucket")],
+        [F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("bucket")])
+    salted = hot_a.join(hot_b, [*GROUP_KEYS, "bucket"]).drop("bucket")
+    return cold.unionByName(salted)
+
+
 def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSION_DAYS,
                   channels: Sequence[str] = CHANNELS, categories: Sequence[str] | None = None,
                   by_category: bool = True, end_inclusive: bool | None = None,
@@ -72,18 +101,9 @@ def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESS
         end_inclusive = by_category
     counts = brand_counts(clicks, brands, end=end, days=days, end_inclusive=end_inclusive,
                           channels=channels, categories=categories)
-    # Brands per group: bounded by the brands of one category.
-    hot = F.count(F.lit(1)).over(Window.partitionBy(*GROUP_KEYS)) > hot_brands
-    counts = counts.withColumn("hot", hot)
-    a = counts.select(*GROUP_KEYS, F.col("brand_code").alias("from_brand_code"), F.col("k").alias("ka"),
-                      F.when(F.col("hot"), F.pmod(F.xxhash64("brand_code"), F.lit(salt_buckets)))
-                       .otherwise(F.lit(0)).alias("bucket"))
-    b = counts.select(*GROUP_KEYS, F.col("brand_code").alias("to_brand_code"), F.col("k").alias("kb"),
-                      F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                 .otherwise(F.array(F.lit(0)))).alias("bucket"))
+    pairs = _brand_pairs(counts, hot_brands, salt_buckets)
     keys = ["cid3"] if by_category else []
-    pv = (a.join(b, [*GROUP_KEYS, "bucket"])
-           .groupBy(*keys, "from_brand_code", "to_brand_code")
+    pv = (pairs.groupBy(*keys, "from_brand_code", "to_brand_code")
            .agg(F.sum(F.col("ka") * F.col("kb")).alias("page_views_switch")))
     total_name = "from_brand_total_switch" if by_category else "from_shop_total_switch"
     # One origin brand's partners are bounded by the number of brands.
