@@ -56,3 +56,8 @@ def window_predicate(col: Column, end, days: int, end_inclusive: bool = True) ->
     lower = col >= F.date_sub(end_c, days)
     upper = col <= end_c if end_inclusive else col < end_c
     return lower & upper
+
+
+def dt_value(run_date) -> Column:
+    """The output partition value of a run: ``yyyy-MM-dd`` string, as the output tables store ``dt``."""
+    return F.date_format(as_date(run_date), "yyyy-MM-dd")

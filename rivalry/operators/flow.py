@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivalry.functions.dates import dt_value
 from rivalry.functions.numeric import money_out, ratio
 
 # Flow sums: prob (6 decimals) × GMV (4 decimals), exact; 20 integer digits.
@@ -154,7 +155,7 @@ def erosion_pairs(flow: DataFrame, names: DataFrame, *, run_date) -> DataFrame:
                          money_out("spend_switch").alias("src_to_dst"),
                          money_out("back").alias("dst_to_src"),
                          money_out(F.col("spend_switch") - F.col("back")).alias("dst_net_erode_amount"),
-                         F.lit(run_date).cast("date").alias("dt")))
+                         dt_value(run_date).alias("dt")))
 
 
 def scale_0_100(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("cid3",),

@@ -13,13 +13,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivalry.functions.dates import dt_value
 from rivalry.operators.flow import erosion_pairs
 from rivalry.plans import profiles, similarity
 from rivalry.sources.sinks import overwrite_partitions
 
 
 def _with_dt(df: DataFrame, run_date) -> DataFrame:
-    return df.withColumn("dt", F.lit(run_date).cast("date")) if "dt" not in df.columns else df
+    return df.withColumn("dt", dt_value(run_date)) if "dt" not in df.columns else df
 
 
 def brand_profile(i, run_date, categories):

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivalry.functions.dates import group_max, latest_snapshot
+from rivalry.functions.dates import dt_value, group_max, latest_snapshot
 from rivalry.operators.flow import competition_measures, scale_0_100, spend_flow
 from rivalry.operators.segments import brand_labels, category_list, market_labels, sku_gmv
 from rivalry.params import BRAND_DOMAIN, GMV_DAYS
@@ -56,7 +56,7 @@ def brand_profile(sku_dim: DataFrame, switch: DataFrame, order_det: DataFrame, *
     return (scaled.join(cats, "cid3", "left")
                   .select("cid3_name", F.lit(BRAND_DOMAIN).alias("domain"), "brand_code", "brand_name",
                           "switch_in_prob_p", "switch_out_prob_p", "loyalty_p", "erode_amount",
-                          F.lit(run_date).cast("date").alias("dt"), "cid3")
+                          dt_value(run_date).alias("dt"), "cid3")
                   .withColumnsRenamed({"switch_in_prob_p": "switch_in_p",
                                        "switch_out_prob_p": "switch_out_p"}))
 
@@ -87,4 +87,4 @@ def market_profile(sku_attrs: DataFrame, market_defs: DataFrame, switch: DataFra
     return (m.join(markets, ["cid3", "market"])
              .select("cid3_name", "market", F.col("attr_value").alias("seg_market"),
                      "switch_in_prob", "switch_out_prob",
-                     F.lit(run_date).cast("date").alias("dt"), "cid3"))
+                     dt_value(run_date).alias("dt"), "cid3"))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.functions.dates import latest_snapshot, trailing
+from rivalry.functions.dates import dt_value, latest_snapshot, trailing
 from rivalry.functions.numeric import money_out
 from rivalry.operators import flow as flow_ops
 from rivalry.operators.segments import brand_labels, category_list, market_labels, sku_gmv
@@ -136,12 +136,12 @@ def q_declared_rivals(spark, d):
 def q_latest_snapshot(spark, d):
     sw, _ = profiles.latest_switching(fx.sku_switch(spark, d))
     return sw.select("cid3", "src_item_id", "dst_item_id",
-                     F.col("switching_prob").cast("double").alias("switching_prob"), "dt")
+                     F.col("switching_prob").cast("double").alias("switching_prob"), dt_value(F.col("dt")).alias("dt"))
 
 
 def q_trailing_orders(spark, d):
     od = trailing(fx.order_det(spark, d), "dt", fx.ORDER_RUN_DATE, GMV_DAYS)
-    return od.select("sku_id", "cid3", "brand_code", "okey", "dt",
+    return od.select("sku_id", "cid3", "brand_code", "okey", dt_value(F.col("dt")).alias("dt"),
                      money_out("amount").alias("amount"), "qty")
 
 
