@@ -43,12 +43,14 @@ def spend_flow(switch: DataFrame, labels: DataFrame, gmv: DataFrame, *,
 
     Plan: switching rows are joined with source GMV and source label on the
     same key (cid3, src_item_id), so both joins share one shuffle.  The
-    joined rows are then shuffled once by the destination join keys; that
-    partitioning serves both the sum per (source segment, destination SKU)
-    (which shrinks the rows before the label join) and the destination label
-    join, instead of one shuffle for each.  A map-side combine would gain
-    little there: rows are partitioned by source SKU.  All inner joins: pairs
-    without GMV or labels drop out.
+    products are then summed per (source segment, destination SKU) — partial
+    sums map-side first — before the destination label is attached.  A
+    single ``repartition`` by the destination keys would save one shuffle but
+    skip the map-side combine, and AQE does not split skewed partitions of a
+    user repartition: a destination SKU that a third of all pairs point to
+    would land in one task.  With the aggregate, the hot SKU arrives
+    pre-combined and the label join's shuffle stays splittable.  All inner
+    joins: pairs without GMV or labels drop out.
     """
     keys = list(keys)
     src_seg, dst_seg = f"src_{segment}", f"dst_{segment}"
@@ -58,7 +60,6 @@ def spend_flow(switch: DataFrame, labels: DataFrame, gmv: DataFrame, *,
     dst = labels.select(*keys, F.col("sku_id").alias("dst_item_id"), F.col(segment).alias(dst_seg))
     partial = (sw.join(g, ["cid3", "src_item_id"])
                  .join(src, ["cid3", "src_item_id"])
-                 .repartition(*keys, "dst_item_id")
                  .groupBy(*keys, src_seg, "dst_item_id")
                  .agg(F.sum(F.col("switching_prob") * F.col("gmv")).alias("spend")))
     return (partial.join(dst, [*keys, "dst_item_id"])
