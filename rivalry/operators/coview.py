@@ -51,7 +51,8 @@ def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSI
     return counts.join(known, "brand_code", "left_semi")
 
 
-def _brand_pairs(counts: DataFrame, hot_brands: int, salt_buckets: int) -> DataFrame:
+def _brand_pairs(counts: DataFrame, hot_brands: int, salt_buckets: int,
+                 group_keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
     """(group keys, from_brand_code, ka, to_brand_code, kb) for every brand pair of a group.
 
     The brand count per group is a window partitioned by the group keys;
@@ -60,23 +61,24 @@ def _brand_pairs(counts: DataFrame, hot_brands: int, salt_buckets: int) -> DataF
     the salted path (left side bucketed by brand hash, right side replicated
     to every bucket).
     """
-    sized = counts.withColumn("n_brands", F.count(F.lit(1)).over(Window.partitionBy(*GROUP_KEYS)))
+    gk = list(group_keys)
+    sized = counts.withColumn("n_brands", F.count(F.lit(1)).over(Window.partitionBy(*gk)))
 
     def sides(df, bucket_left, bucket_right):
-        a = df.select(*GROUP_KEYS, F.col("brand_code").alias("from_brand_code"), F.col("k").alias("ka"),
+        a = df.select(*gk, F.col("brand_code").alias("from_brand_code"), F.col("k").alias("ka"),
                       *bucket_left)
-        b = df.select(*GROUP_KEYS, F.col("brand_code").alias("to_brand_code"), F.col("k").alias("kb"),
+        b = df.select(*gk, F.col("brand_code").alias("to_brand_code"), F.col("k").alias("kb"),
                       *bucket_right)
         return a, b
 
     cold_a, cold_b = sides(sized.filter(F.col("n_brands") <= hot_brands), [], [])
-    cold = cold_a.join(cold_b, GROUP_KEYS)
+    cold = cold_a.join(cold_b, gk)
     hot = sized.filter(F.col("n_brands") > hot_brands)
     hot_a, hot_b = sides(
         hot,
         [F.pmod(F.xxhash64("brand_code"), F.lit(salt_buckets)).alias("bucket")],
         [F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("bucket")])
-    salted = hot_a.join(hot_b, [*GROUP_KEYS, "bucket"]).drop("bucket")
+    salted = hot_a.join(hot_b, [*gk, "bucket"]).drop("bucket")
     return cold.unionByName(salted)
 
 
@@ -105,6 +107,12 @@ def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESS
     keys = ["cid3"] if by_category else []
     pv = (pairs.groupBy(*keys, "from_brand_code", "to_brand_code")
            .agg(F.sum(F.col("ka") * F.col("kb")).alias("page_views_switch")))
+    return switch_table(pv, by_category)
+
+
+def switch_table(pv: DataFrame, by_category: bool) -> DataFrame:
+    """Add the origin total and ``switch_prob`` to pair counts ``page_views_switch``."""
+    keys = ["cid3"] if by_category else []
     total_name = "from_brand_total_switch" if by_category else "from_shop_total_switch"
     # One origin brand's partners are bounded by the number of brands.
     per_origin = Window.partitionBy(*keys, "from_brand_code")
