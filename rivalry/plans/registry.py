@@ -87,6 +87,18 @@ def q_market_profile(spark, d):
                                    fx.order_det(spark, d), run_date=fx.ORDER_RUN_DATE)
 
 
+def q_market_spend_flow(spark, d):
+    flow = profiles.market_flow(fx.sku_attrs(spark, d), fx.market_defs(spark, d), fx.sku_switch(spark, d),
+                                fx.order_det(spark, d))
+    return flow.select("cid3", "market", "src_attr_value", "dst_attr_value",
+                       money_out("spend_switch").alias("spend_switch"))
+
+
+def q_brand_names(spark, d):
+    _, names = brand_labels(latest_snapshot(fx.sku_dim(spark, d), "dt"))
+    return names
+
+
 def q_category_list(spark, d):
     return category_list(latest_snapshot(fx.sku_dim(spark, d), "dt"))
 
@@ -150,6 +162,7 @@ QUERIES: dict[str, Query] = {
     "coview_pooled": q_coview_pooled,
     "sku_gmv": q_sku_gmv,
     "brand_labels": q_brand_labels,
+    "brand_names": q_brand_names,
     "brand_spend_flow": q_brand_spend_flow,
     "loyalty": q_loyalty,
     "switch_in": q_switch_in,
@@ -157,6 +170,7 @@ QUERIES: dict[str, Query] = {
     "erosion_pairs": q_erosion_pairs,
     "brand_profile": q_brand_profile,
     "market_labels": q_market_labels,
+    "market_spend_flow": q_market_spend_flow,
     "market_profile": q_market_profile,
     "category_list": q_category_list,
     "symmetric_matches": q_symmetric_matches,
