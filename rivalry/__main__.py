@@ -3,7 +3,8 @@
 Inputs are the fixture tables derived from ``--data-dir`` unless overridden
 with ``--input name=parquet_path`` (or ``name=table:db.table`` for a
 catalog table).  Logical inputs: sku_dim, sku_switch, order_det, sku_attrs,
-market_defs, clicks, sku_match, sku_sales, declared_links, vendor_shops.
+market_defs, clicks, sku_match, sku_sales, declared_links, vendor_shops; the
+similarity_merge job reads written outputs: coview_out, overlap_out, volume_out.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from rivalry.session import build_session
 from rivalry.sources import fixtures
 
 INPUTS = ["sku_dim", "sku_switch", "order_det", "sku_attrs", "market_defs", "clicks", "sku_match",
-          "sku_sales", "declared_links", "vendor_shops"]
+          "sku_sales", "declared_links", "vendor_shops",
+          # written outputs, read by the similarity_merge job
+          "coview_out", "overlap_out", "volume_out"]
 
 
 class LazyInputs(dict):

@@ -65,6 +65,11 @@ def similar_brands(i, run_date, categories):
                                      click_end=run_date, sales_end=run_date, categories=categories), ("dt",)
 
 
+def similarity_merge(i, run_date, categories):
+    """Merge from the written outputs (inputs ``coview_out``, ``overlap_out``, ``volume_out``)."""
+    return similarity.merge_latest_outputs(i["coview_out"], i["overlap_out"], i["volume_out"]), ("dt",)
+
+
 def declared_rivals(i, run_date, categories):
     from rivalry.operators.similarity import declared_rivals as dr
     return dr(i["declared_links"], i["vendor_shops"], shops_date=run_date), ("dt",)
@@ -80,6 +85,7 @@ JOBS: dict[str, Callable] = {
     "overlap_pooled": overlap_pooled,
     "volume": volume,
     "similar_brands": similar_brands,
+    "similarity_merge": similarity_merge,
     "declared_rivals": declared_rivals,
 }
 

@@ -56,3 +56,16 @@ def similar_brands(clicks: DataFrame, sku_dim: DataFrame, sku_match: DataFrame,
     ov = overlap_by_category(sku_match, sku_sales, end=sales_end, categories=categories)
     vol = neighbours(sku_sales, end=sales_end, categories=categories)
     return merge_similarity(volume_similar(vol), strong_coview(co), strong_overlap(ov))
+
+
+def merge_latest_outputs(coview_out: DataFrame, overlap_out: DataFrame, volume_out: DataFrame) -> DataFrame:
+    """D23 from written outputs: the latest ``dt`` partition of each table, selected and merged.
+
+    The inputs are the co-view (per category), overlap (per category) and
+    volume-neighbour tables as the jobs write them; each is reduced to its
+    newest partition (a scalar-subquery filter that prunes the others).
+    """
+    co = latest_snapshot(coview_out, "dt")
+    ov = latest_snapshot(overlap_out, "dt")
+    vol = latest_snapshot(volume_out, "dt")
+    return merge_similarity(volume_similar(vol), strong_coview(co), strong_overlap(ov))
