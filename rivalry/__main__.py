@@ -13,7 +13,7 @@ import argparse
 import datetime as dt
 
 from rivalry.plans.jobs import JOBS, run_job
-from rivalry.session import build_session
+from rivalry.session import CLUSTER_CONF, build_session
 from rivalry.sources import fixtures
 
 INPUTS = ["sku_dim", "sku_switch", "order_det", "sku_attrs", "market_defs", "clicks", "sku_match",
@@ -50,12 +50,15 @@ def main(argv=None) -> None:
     p.add_argument("--input", action="append", default=[], help="name=path or name=table:db.table")
     p.add_argument("--categories", default=None, help="comma-separated category ids")
     p.add_argument("--master", default=None)
+    p.add_argument("--profile", choices=("default", "cluster"), default="default",
+                   help="cluster: partition sizing for very large inputs (session.CLUSTER_CONF)")
     a = p.parse_args(argv)
     overrides = dict(s.split("=", 1) for s in a.input)
     unknown = set(overrides) - set(INPUTS)
     if unknown:
         p.error(f"unknown inputs: {sorted(unknown)}")
-    spark = build_session(a.master, app_name=f"rivalry-{a.job}")
+    extra = CLUSTER_CONF if a.profile == "cluster" else None
+    spark = build_session(a.master, app_name=f"rivalry-{a.job}", extra=extra)
     cats = a.categories.split(",") if a.categories else None
     run_job(a.job, LazyInputs(spark, a.data_dir, overrides), a.out, a.run_date, cats)
     spark.stop()

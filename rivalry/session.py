@@ -27,6 +27,25 @@ BASE_CONF = {
 }
 
 
+# Profile for a large cluster (~100 TB of logs and order lines, ~1000
+# executors).  The shuffle partition count is an upper bound that AQE
+# coalesces to ~256 MB partitions; scans read up to 512 MB per task (about
+# 200k scan tasks for 100 TB); a partition 3x the median and over 256 MB
+# counts as skewed and is split; broadcasts decided by Spark stay under
+# 64 MB (explicit ones go through ``functions.joins.checked_broadcast``).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rivalry", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
