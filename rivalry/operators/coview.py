@@ -15,7 +15,8 @@ bytes after the count but emits brands² pairs, which AQE cannot see as skew.
 Groups with more than ``hot_brands`` brands are therefore split: their
 left-side rows go to one of ``salt_buckets`` buckets by brand hash and their
 right-side rows are replicated to every bucket, so each pair is still formed
-exactly once but by ``salt_buckets`` tasks.  Other groups use bucket 0 only.
+exactly once but by ``salt_buckets`` tasks.  Other groups self-join
+directly on the group keys (see ``_brand_pairs``).
 """
 
 from __future__ import annotations

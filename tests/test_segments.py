@@ -86,3 +86,22 @@ def test_overwrite_partitions_keeps_other_dates(spark, tmp_path):
     overwrite_partitions(spark.createDataFrame([(9, D(2001, 1, 2))], "v int, dt date"), path)
     got = sorted((r.v, r.dt) for r in spark.read.parquet(path).collect())
     assert got == [(1, D(2001, 1, 1)), (9, D(2001, 1, 2))]
+
+
+def test_results_unchanged_when_nothing_may_be_broadcast(spark, small_dir, monkeypatch):
+    # Beyond the bound the small frames are joined by shuffle; results must not change.
+    import rivalry.functions.joins as joins
+    from rivalry.plans.registry import QUERIES
+    names = ["brand_profile", "coview_by_category", "sku_gmv"]
+    want = {n: sorted(tuple(r) for r in QUERIES[n](spark, small_dir).collect()) for n in names}
+    monkeypatch.setattr(joins.checked_broadcast, "__defaults__", (0,))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in names:
+            df = QUERIES[n](spark, small_dir)
+            assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+            assert sorted(tuple(r) for r in df.collect()) == want[n]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
