@@ -49,8 +49,10 @@ def spend_flow(switch: DataFrame, labels: DataFrame, gmv: DataFrame, *,
     skip the map-side combine, and AQE does not split skewed partitions of a
     user repartition: a destination SKU that a third of all pairs point to
     would land in one task.  With the aggregate, the hot SKU arrives
-    pre-combined and the label join's shuffle stays splittable.  All inner
-    joins: pairs without GMV or labels drop out.
+    pre-combined and the label join's shuffle stays splittable.  The first
+    join needs no such care: a source SKU's rows are its substitute
+    candidates, bounded by the SKUs of its category, not by data volume.
+    All inner joins: pairs without GMV or labels drop out.
     """
     keys = list(keys)
     src_seg, dst_seg = f"src_{segment}", f"dst_{segment}"
