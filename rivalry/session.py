@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Dynamic overwrite: replace only the partitions a write touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Remove checkpoint files of frames that are no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 import functools
 import hashlib
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -211,9 +212,14 @@ def _stored(name: str, derive):
         key = (data_dir.rstrip("/"), name)
         if key not in store:
             tag = hashlib.sha1(key[0].encode()).hexdigest()[:12]
-            path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-inputs/{tag}/{name}"
-            derive(spark, data_dir).write.mode("overwrite").parquet(path)
-            store[key] = spark.read.parquet(path)
+            derived = derive(spark, data_dir)
+            try:
+                path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-inputs/{tag}/{name}"
+                derived.write.mode("overwrite").parquet(path)
+                store[key] = spark.read.parquet(path)
+            except Exception as exc:  # no writable shared folder: use the lazy derivation
+                warnings.warn(f"input {name} not stored ({exc.__class__.__name__}); deriving it per query")
+                store[key] = derived
         return store[key]
 
     load.__name__ = name
