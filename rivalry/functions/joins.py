@@ -11,6 +11,8 @@ shuffles (AQE still splits skewed partitions).
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,12 @@ _MARK = "_rivalry_checked"
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     if getattr(df, _MARK, False):
         return df
-    ensure_checkpoint_dir(df.sparkSession)
-    small = df.checkpoint(eager=True)
+    try:
+        ensure_checkpoint_dir(df.sparkSession)
+        small = df.checkpoint(eager=True)
+    except Exception as exc:  # no reliable checkpoint storage: leave the choice to Catalyst / AQE
+        warnings.warn(f"checked_broadcast: no checkpoint ({exc.__class__.__name__}); join left unhinted")
+        return df
     out = F.broadcast(small) if small.count() <= max_rows else small
     setattr(out, _MARK, True)
     return out
