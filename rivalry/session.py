@@ -66,11 +66,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only when unset.
+    """Return the shared checkpoint folder, setting a scratch one only when unset locally.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is.  Only local test sessions without the setting get
-    a fresh temporary folder.
+    folder and is used as is; if it is missing there, this raises instead of
+    falling back to a machine-local folder.  Only ``local[...]`` sessions
+    without the setting (tests) get a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: set it to a shared folder for cluster runs")
         configured = tempfile.mkdtemp(prefix="rivalry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
