@@ -52,3 +52,17 @@ def test_similarity_merge_from_written_outputs_equals_one_pass(spark, small_dir,
     from rivalry.plans.registry import QUERIES
     want = sorted(tuple(r) for r in QUERIES["similar_brands"](spark, small_dir).collect())
     assert got and got == want
+
+
+def test_command_line_writes_partitions(spark, small_dir, tmp_path):
+    import os
+    import subprocess
+    import sys
+    out = str(tmp_path / "cli")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cmd = [sys.executable, "-m", "rivalry", "volume", "--run-date", "2001-07-31", "--out", out,
+           "--data-dir", small_dir, "--master", "local[2]", "--categories", "ECONOMY,SMALL"]
+    subprocess.run(cmd, cwd=repo, check=True, timeout=600, capture_output=True)
+    back = spark.read.parquet(out)
+    assert back.count() > 0
+    assert {r.cid3 for r in back.select("cid3").distinct().collect()} <= {"ECONOMY", "SMALL"}
