@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivalry.functions.dates import dt_value, group_max, latest_snapshot
+from rivalry.functions.dates import as_date, dt_value, group_max, latest_snapshot
 from rivalry.operators.flow import competition_measures, scale_0_100, spend_flow
 from rivalry.operators.segments import brand_labels, category_list, market_labels, sku_gmv
 from rivalry.params import BRAND_DOMAIN, GMV_DAYS
@@ -61,28 +61,37 @@ def brand_profile(sku_dim: DataFrame, switch: DataFrame, order_det: DataFrame, *
                                        "switch_out_prob_p": "switch_out_p"}))
 
 
+def definitions_snapshot(market_defs: DataFrame, defs_date=None) -> DataFrame:
+    """One snapshot of the market definitions: ``defs_date`` if given, else the latest."""
+    if defs_date is not None:
+        return market_defs.filter(F.col("dt") == as_date(defs_date))
+    return latest_snapshot(market_defs, "dt")
+
+
 def market_flow(sku_attrs: DataFrame, market_defs: DataFrame, switch: DataFrame, order_det: DataFrame, *,
-                categories: Sequence[str] | None = None, gmv_days: int = GMV_DAYS) -> DataFrame:
+                categories: Sequence[str] | None = None, gmv_days: int = GMV_DAYS, defs_date=None) -> DataFrame:
     """Spend flow between attribute-value segments, per (cid3, market)."""
-    labels = market_labels(sku_attrs, market_defs, categories)
+    labels = market_labels(sku_attrs, definitions_snapshot(market_defs, defs_date), categories)
     sw, ends = latest_switching(switch, categories)
     gmv = sku_gmv(order_det, end=ends, days=gmv_days, categories=categories)
     return spend_flow(sw, labels, gmv, keys=("cid3", "market"), segment="attr_value")
 
 
 def market_profile(sku_attrs: DataFrame, market_defs: DataFrame, switch: DataFrame, order_det: DataFrame, *,
-                   run_date, categories: Sequence[str] | None = None, gmv_days: int = GMV_DAYS) -> DataFrame:
+                   run_date, categories: Sequence[str] | None = None, gmv_days: int = GMV_DAYS,
+                   defs_date=None) -> DataFrame:
     """Segment switch-in / switch-out for every (category, market attribute).
 
-    ``market_defs`` is one snapshot of the definitions.  Columns: cid3_name,
+    ``market_defs`` are read at ``defs_date`` (default: latest).  Columns: cid3_name,
     market, seg_market, switch_in_prob, switch_out_prob, dt, cid3 — one
     output for all attributes of a category (the original overwrote the
     category's partition once per attribute, keeping only the last).
     """
-    flow = market_flow(sku_attrs, market_defs, switch, order_det, categories=categories,
-                       gmv_days=gmv_days)
+    defs = definitions_snapshot(market_defs, defs_date)
+    flow = market_flow(sku_attrs, defs, switch, order_det, categories=categories, gmv_days=gmv_days,
+                       defs_date=None)
     m = competition_measures(flow, keys=("cid3", "market"), segment="attr_value")
-    markets = category_list(market_defs.withColumnRenamed("attr_name", "market"),
+    markets = category_list(defs.withColumnRenamed("attr_name", "market"),
                             cols=("cid3", "cid3_name", "market"), categories=categories)
     return (m.join(markets, ["cid3", "market"])
              .select("cid3_name", "market", F.col("attr_value").alias("seg_market"),

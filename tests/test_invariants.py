@@ -74,3 +74,19 @@ def test_market_profile_one_output_for_all_attributes(spark, small_dir):
     # S3: both attributes of a category are present in the one output.
     cats = {c for c, _ in markets}
     assert any({(c, "color"), (c, "shape")} <= markets for c in cats)
+
+
+def test_market_profile_reads_one_definitions_snapshot(spark, small_dir):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from rivalry.plans import profiles
+    from rivalry.sources import fixtures as fx
+    defs = fx.market_defs(spark, small_dir)
+    old_day = dt.date(2001, 1, 1)
+    older = defs.filter(F.col("attr_name") == "color").withColumn("dt", F.lit(old_day))
+    both = defs.unionByName(older)
+    args = (fx.sku_attrs(spark, small_dir), both, fx.sku_switch(spark, small_dir), fx.order_det(spark, small_dir))
+    latest = profiles.market_profile(*args, run_date=fx.ORDER_RUN_DATE)
+    old = profiles.market_profile(*args, run_date=fx.ORDER_RUN_DATE, defs_date=old_day)
+    assert {r.market for r in latest.collect()} == {"color", "shape"}
+    assert {r.market for r in old.collect()} == {"color"}
