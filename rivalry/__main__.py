@@ -49,6 +49,8 @@ def main(argv=None) -> None:
     p.add_argument("--data-dir", default=None)
     p.add_argument("--input", action="append", default=[], help="name=path or name=table:db.table")
     p.add_argument("--categories", default=None, help="comma-separated category ids")
+    p.add_argument("--defs-date", default=None, type=dt.date.fromisoformat,
+                   help="market_profile: snapshot day of the market definitions (default: latest)")
     p.add_argument("--master", default=None)
     p.add_argument("--profile", choices=("default", "cluster"), default="default",
                    help="cluster: partition sizing for very large inputs (session.CLUSTER_CONF)")
@@ -60,7 +62,10 @@ def main(argv=None) -> None:
     extra = CLUSTER_CONF if a.profile == "cluster" else None
     spark = build_session(a.master, app_name=f"rivalry-{a.job}", extra=extra)
     cats = a.categories.split(",") if a.categories else None
-    run_job(a.job, LazyInputs(spark, a.data_dir, overrides), a.out, a.run_date, cats)
+    options = {"defs_date": a.defs_date} if a.defs_date else {}
+    if options and a.job != "market_profile":
+        p.error("--defs-date applies to market_profile only")
+    run_job(a.job, LazyInputs(spark, a.data_dir, overrides), a.out, a.run_date, cats, **options)
     spark.stop()
 
 

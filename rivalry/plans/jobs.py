@@ -34,9 +34,9 @@ def erosion_list(i, run_date, categories):
     return erosion_pairs(flow, names, run_date=run_date), ("dt",)
 
 
-def market_profile(i, run_date, categories):
+def market_profile(i, run_date, categories, defs_date=None):
     return profiles.market_profile(i["sku_attrs"], i["market_defs"], i["sku_switch"], i["order_det"],
-                                   run_date=run_date, categories=categories), ("dt", "cid3")
+                                   run_date=run_date, categories=categories, defs_date=defs_date), ("dt", "cid3")
 
 
 def coview(i, run_date, categories):
@@ -91,9 +91,12 @@ JOBS: dict[str, Callable] = {
 
 
 def run_job(name: str, inputs: dict[str, DataFrame], out_path: str, run_date: _dt.date,
-            categories: Sequence[str] | None = None) -> None:
-    """Compute job ``name`` and overwrite its partitions under ``out_path``."""
-    df, partition_cols = JOBS[name](inputs, run_date, categories)
+            categories: Sequence[str] | None = None, **options) -> None:
+    """Compute job ``name`` and overwrite its partitions under ``out_path``.
+
+    ``options`` are job-specific (``defs_date`` for ``market_profile``).
+    """
+    df, partition_cols = JOBS[name](inputs, run_date, categories, **options)
     overwrite_partitions(_with_dt(df, run_date), out_path, partition_cols)
 
 
