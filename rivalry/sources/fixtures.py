@@ -209,7 +209,7 @@ def _stored(name: str, derive):
         if store is None:
             store = {}
             setattr(spark, _STORE_ATTR, store)
-        key = (data_dir.rstrip("/"), name)
+        key = (str(data_dir).rstrip("/"), name)
         if key not in store:
             tag = hashlib.sha1(key[0].encode()).hexdigest()[:12]
             derived = derive(spark, data_dir)

@@ -16,7 +16,7 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     the returned DataFrame is an immutable plan, shared by every query that
     reads the table.
     """
-    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    path = f"{str(data_dir).rstrip('/')}/{name}.parquet"
     cache = getattr(spark, _CACHE_ATTR, None)
     if cache is None:
         cache = {}
