@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 import functools
 import hashlib
+import threading
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -198,6 +199,7 @@ def derive_vendor_shops(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 _STORE_ATTR = "_rivalry_inputs"
+_STORE_LOCK = threading.RLock()  # queries may be built from several threads of one session
 
 
 def _stored(name: str, derive):
@@ -205,6 +207,10 @@ def _stored(name: str, derive):
 
     @functools.wraps(derive)
     def load(spark: SparkSession, data_dir: str) -> DataFrame:
+        with _STORE_LOCK:
+            return _load(spark, data_dir)
+
+    def _load(spark: SparkSession, data_dir: str) -> DataFrame:
         store = getattr(spark, _STORE_ATTR, None)
         if store is None:
             store = {}
