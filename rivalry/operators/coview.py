@@ -47,7 +47,7 @@ def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSI
         log = log.filter(F.col("cid3").isin(*categories))
     counts = log.groupBy(*GROUP_KEYS, "brand_code").agg(F.count(F.lit(1)).alias("k"))
     # The known-brand list is a dimension (one row per brand): broadcast
-    # after a size check, applied to the pre-aggregated counts.
+    # after a size check.  Catalyst pushes this semi-join below the count.
     known = checked_broadcast(brands.select("brand_code").distinct())
     return counts.join(known, "brand_code", "left_semi")
 
