@@ -59,6 +59,10 @@ def brand_labels(sku_dim: DataFrame, categories: Sequence[str] | None = None) ->
     dim = sku_dim.filter(F.col("valid_flag") == 1)
     if categories is not None:
         dim = dim.filter(F.col("cid3").isin(*categories))
+    # A snapshot has about one row per SKU, so a map-side combine gains
+    # nothing; one shuffle by (cid3, sku_id) serves the per-name maximum,
+    # the distinct labels and the later joins on the SKU.
+    dim = dim.repartition("cid3", "sku_id")
     picked = dim.groupBy("cid3", "sku_id", "brand_name").agg(F.max("brand_code").alias("brand_code"))
     labels = picked.select("cid3", "sku_id", "brand_code").distinct()
     names = picked.select("cid3", "brand_code", "brand_name").distinct()
