@@ -11,9 +11,9 @@ import datetime as _dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rivalry.functions.dates import dt_value
+from rivalry.operators import similarity as similarity_ops
 from rivalry.operators.flow import erosion_pairs
 from rivalry.plans import profiles, similarity
 from rivalry.sources.sinks import overwrite_partitions
@@ -71,8 +71,7 @@ def similarity_merge(i, run_date, categories):
 
 
 def declared_rivals(i, run_date, categories):
-    from rivalry.operators.similarity import declared_rivals as dr
-    return dr(i["declared_links"], i["vendor_shops"], shops_date=run_date), ("dt",)
+    return similarity_ops.declared_rivals(i["declared_links"], i["vendor_shops"], shops_date=run_date), ("dt",)
 
 
 JOBS: dict[str, Callable] = {
