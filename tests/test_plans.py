@@ -44,3 +44,24 @@ def test_derived_click_window_reaches_the_events_scan(spark, small_dir):
     scan = [line for line in _plan(df).splitlines() if "events.parquet" in line]
     # dt = to_date(ts) in [end - 91, end] becomes a range on ts inside the scan.
     assert scan and all("GreaterThanOrEqual(ts," in line and "LessThan(ts," in line for line in scan)
+
+
+def test_order_lines_are_never_shuffled(spark, small_dir):
+    # At scale Spark would not broadcast large tables; with its automatic
+    # broadcasts off, the only shuffle left in sku_gmv carries the per-SKU
+    # partial sums (the per-category window ends are a checked broadcast).
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(queries()["sku_gmv"](spark, small_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "BroadcastHashJoin" in plan
+
+
+def test_brand_labels_take_one_shuffle(spark, small_dir):
+    plan = _plan(queries()["brand_labels"](spark, small_dir))
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "cid3" in shuffles[0] and "sku_id" in shuffles[0]
