@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from rivalry.plans.registry import QUERIES
 
 TABLES = ["part", "orders", "lineitem", "events", "supplier"]
 
@@ -26,7 +27,7 @@ def _bag(records, cols):
     return Counter(tuple(r[c] for c in cols) for r in records)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, small_dir, name):
     assert name in oracle_sql(), f"{name} has no oracle"
     df = queries()[name](spark, small_dir)
