@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+from rivalry.llm import secret_scan, substring_dedup, warc
+from rivalry.llm.ann import op4_ann
+from rivalry.llm.decontaminate import op10_decontaminate
+from rivalry.llm.html_text import op7_html_text
+from rivalry.llm.language import op6_language
+from rivalry.llm.sentencepiece_lattice import op1_sentencepiece
 from rivalry.llm.token_files import op2_token_files
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_token_files": op2_token_files,
+    "op3_warc": warc.op3_warc,
+    "op4_ann": op4_ann,
+    "op6_language": op6_language,
+    "op7_html_text": op7_html_text,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
+    "op9_secret_scan": secret_scan.op9_secret_scan,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_warc": warc.ORACLE,
+    "op8_substring_dedup": substring_dedup.ORACLE,
+    "op9_secret_scan": secret_scan.oracle(),
+}
