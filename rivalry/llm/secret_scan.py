@@ -216,7 +216,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     base = F.filter("secrets", lambda s: s["number"] < sum(r.base for r in RULES))
-    counts = [F.size(F.filter("secrets", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
+    counts = [F.expr(f"CAST(size(filter(secrets, s -> s.kind = '{r.kind}')) AS BIGINT)").alias(f"n_{r.kind}")
               for r in RULES if r.base]
     return scan(docs).select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"),
                              _joined(F.col("secrets")).alias("spans"))
