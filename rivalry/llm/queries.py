@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rivalry.llm import secret_scan, substring_dedup, warc
+from rivalry.llm import jaccard_tree, secret_scan, substring_dedup, warc
 from rivalry.llm.ann import op4_ann
 from rivalry.llm.decontaminate import op10_decontaminate
 from rivalry.llm.html_text import op7_html_text
@@ -15,6 +15,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_warc": warc.op3_warc,
     "op4_ann": op4_ann,
+    "op5_jaccard_join": jaccard_tree.op5_jaccard_join,
     "op6_language": op6_language,
     "op7_html_text": op7_html_text,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
@@ -24,6 +25,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_warc": warc.ORACLE,
+    "op5_jaccard_join": jaccard_tree.ORACLE,
     "op8_substring_dedup": substring_dedup.ORACLE,
     "op9_secret_scan": secret_scan.oracle(),
 }
