@@ -4,34 +4,33 @@ Catalyst estimates an aggregate's size from its input, so a per-category
 aggregate of a huge table is never broadcast statically, and the big side
 is shuffled before AQE can notice the small side.  ``checked_broadcast``
 materialises the small frame once as a reliable checkpoint (in the
-cluster's ``spark.checkpoint.dir``), counts it, and hints a broadcast only
-under ``max_rows``; above that it returns the frame unhinted and the join
+cluster's ``spark.checkpoint.dir``), measures it, and hints a broadcast only
+under ``max_bytes``; above that it returns the frame unhinted and the join
 shuffles (AQE still splits skewed partitions).
 """
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivalry.session import ensure_checkpoint_dir
+from rivalry.session import checkpoint_folder
 
-# Rows of a broadcast side: categories, brands — dimension sizes, not data sizes.
-MAX_BROADCAST_ROWS = 200_000
+# Bytes of a broadcast side, as text: categories, brands — dimension sizes, not data sizes.
+MAX_BROADCAST_BYTES = 16 << 20
 _MARK = "_rivalry_checked"
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    if getattr(df, _MARK, False):
-        return df
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-        small = df.checkpoint(eager=True)
-    except Exception as exc:  # no reliable checkpoint storage: leave the choice to Catalyst / AQE
-        warnings.warn(f"checked_broadcast: no checkpoint ({exc.__class__.__name__}); join left unhinted")
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` computed once and hinted for broadcast if it is small; a failing frame fails here.
+
+    Where the session names no checkpoint folder, no job runs and the choice
+    is left to Catalyst and AQE.
+    """
+    if getattr(df, _MARK, False) or checkpoint_folder(df.sparkSession) is None:
         return df
-    out = F.broadcast(small) if small.count() <= max_rows else small
+    small = df.checkpoint(eager=True)
+    size = small.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    out = F.broadcast(small) if size <= max_bytes else small
     setattr(out, _MARK, True)
     return out

@@ -84,3 +84,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="rivalry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """``ensure_checkpoint_dir``, or None for a cluster session that names no folder; runs no job."""
+    sc = spark.sparkContext
+    if not (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.master.startswith("local")):
+        return None
+    return ensure_checkpoint_dir(spark)
