@@ -32,6 +32,8 @@ class LazyInputs(dict):
     def __missing__(self, key):
         src = self.overrides.get(key)
         if src is None:
+            if self.data_dir is None:
+                raise SystemExit(f"input {key} is missing: give --input {key}=PATH (or table:NAME), or --data-dir")
             df = getattr(fixtures, key)(self.spark, self.data_dir)
         elif src.startswith("table:"):
             df = self.spark.table(src[len("table:"):])
@@ -44,7 +46,8 @@ class LazyInputs(dict):
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="rivalry")
     p.add_argument("job", choices=sorted(JOBS))
-    p.add_argument("--out", required=True)
+    p.add_argument("--out", required=True, help="path, or table:db.table")
+    p.add_argument("--format", default="parquet", choices=("parquet", "orc"), help="of the output files")
     p.add_argument("--run-date", required=True, type=dt.date.fromisoformat)
     p.add_argument("--data-dir", default=None)
     p.add_argument("--input", action="append", default=[], help="name=path or name=table:db.table")
@@ -65,7 +68,7 @@ def main(argv=None) -> None:
     options = {"defs_date": a.defs_date} if a.defs_date else {}
     if options and a.job != "market_profile":
         p.error("--defs-date applies to market_profile only")
-    run_job(a.job, LazyInputs(spark, a.data_dir, overrides), a.out, a.run_date, cats, **options)
+    run_job(a.job, LazyInputs(spark, a.data_dir, overrides), a.out, a.run_date, cats, a.format, **options)
     spark.stop()
 
 

@@ -28,11 +28,4 @@ TYPE_VOLUME = "3"
 TYPE_DECLARED = "4"
 # Domain tag of the brand profile.
 BRAND_DOMAIN = "brand"
-# Category sets of the original runs (category ids are strings): the profile
-# jobs ran one category, the similarity jobs six.  Pass them as ``categories``
-# (or ``--categories``); by default every category present is covered.
-PROFILE_CATEGORIES = ("11922",)
-SIMILARITY_CATEGORIES = ("11924", "11925", "6739", "11922", "13550", "11923")
-# Snapshot day of the market definitions used by the original market run.
-MARKET_DEFS_DAY = "2017-07-17"
 # ---------------------------------------------------------------------------

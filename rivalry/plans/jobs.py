@@ -2,7 +2,7 @@
 
 Each job takes its logical inputs as DataFrames (from tables, parquet paths
 or the test fixtures), a run date, and an optional category list, and
-overwrites only the partitions it produces.
+overwrites only its own partitions.
 """
 
 from __future__ import annotations
@@ -89,14 +89,20 @@ JOBS: dict[str, Callable] = {
 }
 
 
-def run_job(name: str, inputs: dict[str, DataFrame], out_path: str, run_date: _dt.date,
-            categories: Sequence[str] | None = None, **options) -> None:
-    """Compute job ``name`` and overwrite its partitions under ``out_path``.
+def run_job(name: str, inputs: dict[str, DataFrame], out: str, run_date: _dt.date,
+            categories: Sequence[str] | None = None, fmt: str = "parquet", **options) -> None:
+    """Compute job ``name`` and overwrite its partitions in ``out``, a path or ``table:name``.
 
-    ``options`` are job-specific (``defs_date`` for ``market_profile``).
+    The run owns its ``dt`` (of its categories, where the output is
+    partitioned by them): what an earlier run left there goes, even if this
+    one has no rows for it.  ``options`` are job-specific (``defs_date`` for
+    ``market_profile``).
     """
     df, partition_cols = JOBS[name](inputs, run_date, categories, **options)
-    overwrite_partitions(_with_dt(df, run_date), out_path, partition_cols)
+    day = {"dt": run_date.isoformat()}
+    by_category = "cid3" in partition_cols and categories is not None
+    clear = [{**day, "cid3": c} for c in categories] if by_category else [day]
+    overwrite_partitions(_with_dt(df, run_date), out, partition_cols, fmt, clear)
 
 
 __all__ = ["JOBS", "run_job"]
