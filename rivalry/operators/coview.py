@@ -12,11 +12,12 @@ row per brand pair of a session, the least the result needs.
 
 A hot group (a bot session clicking through a whole category) is small in
 bytes after the count but emits brands² pairs, which AQE cannot see as skew.
-Groups with more than ``hot_brands`` brands are therefore split: their
-left-side rows go to one of ``salt_buckets`` buckets by brand hash and their
-right-side rows are replicated to every bucket, so each pair is still formed
-exactly once but by ``salt_buckets`` tasks.  Other groups self-join
-directly on the group keys (see ``_brand_pairs``).
+Groups with more than ``hot_brands`` brands are therefore split into a grid:
+with ``b = ceil(brands / hot_brands)`` both sides hash their brands into b
+buckets, and cell (i, j) joins left bucket i with right bucket j.  Each pair
+is formed exactly once, and a cell forms about ``hot_brands``² of them however
+large the group is.  Other groups self-join directly on the group keys (see
+``_brand_pairs``).
 """
 
 from __future__ import annotations
@@ -32,9 +33,8 @@ from rivalry.functions.numeric import ratio
 from rivalry.params import CHANNELS, SESSION_DAYS
 
 GROUP_KEYS = ["session_id", "bs", "request_dt", "cid3"]
-# Split the pair generation of groups with more brands than this.
+# Brands of a group that one task pairs; larger groups become a grid of such cells.
 HOT_GROUP_BRANDS = 2_000
-SALT_BUCKETS = 32
 
 
 def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSION_DAYS,
@@ -52,15 +52,14 @@ def brand_counts(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSI
     return counts.join(known, "brand_code", "left_semi")
 
 
-def _brand_pairs(counts: DataFrame, hot_brands: int, salt_buckets: int,
-                 group_keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
+def _brand_pairs(counts: DataFrame, hot_brands: int, group_keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
     """(group keys, from_brand_code, ka, to_brand_code, kb) for every brand pair of a group.
 
     The brand count per group is a window partitioned by the group keys;
     cold groups then self-join on those same keys, so that join reuses the
     window's partitioning and adds no shuffle.  Only rows of hot groups take
-    the salted path (left side bucketed by brand hash, right side replicated
-    to every bucket).
+    the grid (each side bucketed by brand hash and replicated to the buckets
+    of the other), whose size follows the group's brand count.
     """
     gk = list(group_keys)
     sized = counts.withColumn("n_brands", F.count(F.lit(1)).over(Window.partitionBy(*gk)))
@@ -75,18 +74,20 @@ def _brand_pairs(counts: DataFrame, hot_brands: int, salt_buckets: int,
     cold_a, cold_b = sides(sized.filter(F.col("n_brands") <= hot_brands), [], [])
     cold = cold_a.join(cold_b, gk)
     hot = sized.filter(F.col("n_brands") > hot_brands)
+    buckets = F.ceil(F.col("n_brands") / hot_brands)
+    own, others = F.pmod(F.xxhash64("brand_code"), buckets), F.sequence(F.lit(0).cast("long"), buckets - 1)
     hot_a, hot_b = sides(
         hot,
-        [F.pmod(F.xxhash64("brand_code"), F.lit(salt_buckets)).alias("bucket")],
-        [F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("bucket")])
-    salted = hot_a.join(hot_b, [*gk, "bucket"]).drop("bucket")
-    return cold.unionByName(salted)
+        [own.alias("i"), F.explode(others).alias("j")],
+        [F.explode(others).alias("i"), own.alias("j")])
+    grid = hot_a.join(hot_b, [*gk, "i", "j"]).drop("i", "j")
+    return cold.unionByName(grid)
 
 
 def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESSION_DAYS,
                   channels: Sequence[str] = CHANNELS, categories: Sequence[str] | None = None,
                   by_category: bool = True, end_inclusive: bool | None = None,
-                  hot_brands: int = HOT_GROUP_BRANDS, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                  hot_brands: int = HOT_GROUP_BRANDS) -> DataFrame:
     """Brand→brand co-view switching.
 
     ``by_category=True`` (D14): window end inclusive, output per category
@@ -104,7 +105,7 @@ def coview_switch(clicks: DataFrame, brands: DataFrame, *, end, days: int = SESS
         end_inclusive = by_category
     counts = brand_counts(clicks, brands, end=end, days=days, end_inclusive=end_inclusive,
                           channels=channels, categories=categories)
-    pairs = _brand_pairs(counts, hot_brands, salt_buckets)
+    pairs = _brand_pairs(counts, hot_brands)
     keys = ["cid3"] if by_category else []
     pv = (pairs.groupBy(*keys, "from_brand_code", "to_brand_code")
            .agg(F.sum(F.col("ka") * F.col("kb")).alias("page_views_switch")))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivalry.functions.dates import dt_value
-from rivalry.functions.numeric import money_out, ratio
+from rivalry.functions.numeric import RATIO_SCALE, money_out, money_ratio
 
 # Flow sums: prob (6 decimals) × GMV (4 decimals), exact; 20 integer digits.
 FLOW_TYPE = "decimal(30,10)"
@@ -97,13 +97,12 @@ def segment_totals(flow: DataFrame, *, keys: Sequence[str] = ("cid3",),
 
 
 def _loyalty_cols():
-    loyalty = ratio(money_out("self_spend"), money_out("out_spend"))
-    return [loyalty.alias("loyalty"), (F.lit(1.0) - loyalty).alias("switch_out_prob")]
+    loyalty = money_ratio("self_spend", "out_spend")
+    return [loyalty.alias("loyalty"), F.round(F.lit(1.0) - loyalty, RATIO_SCALE).alias("switch_out_prob")]
 
 
 def _switch_in_col():
-    outside = money_out(F.col("cat_spend") - F.col("out_spend"))
-    return ratio(money_out("in_other_spend"), outside).alias("switch_in_prob")
+    return money_ratio("in_other_spend", F.col("cat_spend") - F.col("out_spend")).alias("switch_in_prob")
 
 
 def _erode_col():

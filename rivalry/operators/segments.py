@@ -75,13 +75,15 @@ def market_labels(sku_attrs: DataFrame, market_defs: DataFrame,
 
     Only site-wide attributes (``web_id = 0``) whose (category, attribute,
     value) is a defined market segment count; of several, the largest value
-    is kept.  Returns ``(cid3, market, sku_id, attr_value)``.
+    is kept.  The definitions are a size-checked broadcast: their few triples
+    would be hot shuffle keys for the attributes.  Returns ``(cid3, market, sku_id, attr_value)``.
     """
     attrs = sku_attrs.filter(F.col("web_id") == 0)
     defs = market_defs.select("cid3", "attr_name", "attr_value")
     if categories is not None:
         attrs = attrs.filter(F.col("cid3").isin(*categories))
         defs = defs.filter(F.col("cid3").isin(*categories))
+    defs = checked_broadcast(defs.distinct())
     attrs = attrs.join(defs, ["cid3", "attr_name", "attr_value"], "left_semi")
     return (attrs.groupBy("cid3", F.col("attr_name").alias("market"), "sku_id")
                  .agg(F.max("attr_value").alias("attr_value")))

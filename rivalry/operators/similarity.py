@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivalry.functions.joins import checked_broadcast
 from rivalry.functions.urls import normalise_url
 from rivalry.params import (OVERLAP_TOP_N, SWITCH_TOP_N, TYPE_DECLARED, TYPE_OVERLAP,
                             TYPE_SWITCH, TYPE_VOLUME)
@@ -20,13 +21,14 @@ def select_strong(df: DataFrame, *, origin: str, similar: str, score: str, top_n
 
     ``rank()`` by score descending within (category, origin) — ties kept;
     the category average includes every row (self pairs too) and is an
-    aggregate joined back, not a window over the whole category.
+    aggregate broadcast back behind a size check, so the ranked pairs are
+    not shuffled again on the few category keys.
     ``strict`` selects ``score > avg`` instead of ``score >= avg``.
     """
     group = list(group)
     w = Window.partitionBy(*group, origin).orderBy(F.col(score).desc())
     ranked = df.withColumn("__rank", F.rank().over(w))
-    avg = df.groupBy(*group).agg(F.avg(score).alias("__avg"))
+    avg = checked_broadcast(df.groupBy(*group).agg(F.avg(score).alias("__avg")))
     above = F.col(score) > F.col("__avg") if strict else F.col(score) >= F.col("__avg")
     return (ranked.join(avg, group)
                   .filter(above & (F.col("__rank") <= top_n))

@@ -26,7 +26,10 @@ def latest_switching(switch: DataFrame, categories: Sequence[str] | None = None)
     if categories is not None:
         switch = switch.filter(F.col("cid3").isin(*categories))
     ends = group_max(switch, "dt", ["cid3"])
-    return switch.join(ends, ["cid3", "dt"], "left_semi"), ends
+    # The oldest and newest of these dates prune the other snapshots' partitions.
+    lo, hi = ends.agg(F.min("dt")).scalar(), ends.agg(F.max("dt")).scalar()
+    recent = switch.filter((F.col("dt") >= lo) & (F.col("dt") <= hi))
+    return recent.join(ends, ["cid3", "dt"], "left_semi"), ends
 
 
 def brand_flow_inputs(sku_dim: DataFrame, switch: DataFrame, order_det: DataFrame, *,
@@ -71,7 +74,12 @@ def definitions_snapshot(market_defs: DataFrame, defs_date=None) -> DataFrame:
 def market_flow(sku_attrs: DataFrame, market_defs: DataFrame, switch: DataFrame, order_det: DataFrame, *,
                 categories: Sequence[str] | None = None, gmv_days: int = GMV_DAYS, defs_date=None) -> DataFrame:
     """Spend flow between attribute-value segments, per (cid3, market)."""
-    labels = market_labels(sku_attrs, definitions_snapshot(market_defs, defs_date), categories)
+    defs = definitions_snapshot(market_defs, defs_date)
+    return _market_flow(sku_attrs, defs, switch, order_det, categories, gmv_days)
+
+
+def _market_flow(sku_attrs, defs, switch, order_det, categories, gmv_days):
+    labels = market_labels(sku_attrs, defs, categories)
     sw, ends = latest_switching(switch, categories)
     gmv = sku_gmv(order_det, end=ends, days=gmv_days, categories=categories)
     return spend_flow(sw, labels, gmv, keys=("cid3", "market"), segment="attr_value")
@@ -88,8 +96,7 @@ def market_profile(sku_attrs: DataFrame, market_defs: DataFrame, switch: DataFra
     category's partition once per attribute, keeping only the last).
     """
     defs = definitions_snapshot(market_defs, defs_date)
-    flow = market_flow(sku_attrs, defs, switch, order_det, categories=categories, gmv_days=gmv_days,
-                       defs_date=None)
+    flow = _market_flow(sku_attrs, defs, switch, order_det, categories, gmv_days)
     m = competition_measures(flow, keys=("cid3", "market"), segment="attr_value")
     markets = category_list(defs.withColumnRenamed("attr_name", "market"),
                             cols=("cid3", "cid3_name", "market"), categories=categories)

@@ -28,8 +28,7 @@ from pyspark.sql.types import StructType
 
 from rivalry.functions.dates import trailing
 from rivalry.functions.joins import checked_broadcast
-from rivalry.operators.coview import (GROUP_KEYS, HOT_GROUP_BRANDS, SALT_BUCKETS, _brand_pairs,
-                                      switch_table)
+from rivalry.operators.coview import GROUP_KEYS, HOT_GROUP_BRANDS, _brand_pairs, switch_table
 from rivalry.params import CHANNELS, SESSION_DAYS
 from rivalry.sources.sinks import overwrite_partitions
 
@@ -37,11 +36,11 @@ DAY_KEYS = ["dt", *GROUP_KEYS]
 
 
 def daily_pairs(clicks: DataFrame, *, channels: Sequence[str] = CHANNELS,
-                hot_brands: int = HOT_GROUP_BRANDS, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                hot_brands: int = HOT_GROUP_BRANDS) -> DataFrame:
     """Pair counts per (dt, cid3, from_brand_code, to_brand_code) of complete log days."""
     log = clicks.filter(F.col("session_id").isNotNull() & F.col("bs").isin(*channels))
     counts = log.groupBy(*DAY_KEYS, "brand_code").agg(F.count(F.lit(1)).alias("k"))
-    pairs = _brand_pairs(counts, hot_brands, salt_buckets, group_keys=DAY_KEYS)
+    pairs = _brand_pairs(counts, hot_brands, group_keys=DAY_KEYS)
     return (pairs.groupBy("dt", "cid3", "from_brand_code", "to_brand_code")
                  .agg(F.sum(F.col("ka") * F.col("kb")).alias("page_views_switch")))
 
