@@ -8,6 +8,7 @@ BIGINT) and match the DuckDB oracles in ``rivalry.oracle`` by name.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,12 @@ from rivalry.operators.similarity import declared_rivals, strong_coview, strong_
 from rivalry.operators.volume import volume_rank
 from rivalry.params import GMV_DAYS
 from rivalry.plans import profiles, similarity
+from rivalry.session import ensure_checkpoint_dir
 from rivalry.sources import fixtures as fx
+from rivalry.sources.sinks import overwrite_partitions
+
+# The category list of the queries that take one.
+CATEGORIES = ("ECONOMY", "SMALL", "STANDARD")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,7 +86,7 @@ def q_brand_profile(spark, d):
 
 
 def q_market_labels(spark, d):
-    return market_labels(fx.sku_attrs(spark, d), fx.market_defs(spark, d))
+    return market_labels(fx.sku_attrs(spark, d), profiles.definitions_snapshot(fx.market_defs(spark, d)))
 
 
 def q_market_profile(spark, d):
@@ -104,6 +110,52 @@ def q_category_list(spark, d):
     return category_list(latest_snapshot(fx.sku_dim(spark, d), "dt"))
 
 
+def q_market_list(spark, d):
+    defs = profiles.definitions_snapshot(fx.market_defs(spark, d))
+    return category_list(defs, cols=("cid3", "cid3_name", "attr_name"))
+
+
+def q_scaled_loyalty(spark, d):
+    scaled = flow_ops.scale_0_100(q_loyalty(spark, d), ["loyalty"])
+    return scaled.select("cid3", "brand_code", "loyalty", "loyalty_p")
+
+
+def q_brand_profile_of_categories(spark, d):
+    return profiles.brand_profile(fx.sku_dim(spark, d), fx.sku_switch(spark, d), fx.order_det(spark, d),
+                                  run_date=fx.ORDER_RUN_DATE, categories=CATEGORIES)
+
+
+def q_market_profile_of_categories(spark, d):
+    return profiles.market_profile(fx.sku_attrs(spark, d), fx.market_defs(spark, d), fx.sku_switch(spark, d),
+                                   fx.order_det(spark, d), run_date=fx.ORDER_RUN_DATE, categories=CATEGORIES)
+
+
+def q_similar_brands_of_categories(spark, d):
+    return similarity.similar_brands(fx.clicks(spark, d), fx.sku_dim(spark, d), fx.sku_match(spark, d),
+                                     fx.sku_sales(spark, d), click_end=fx.CLICK_RUN_DATE,
+                                     sales_end=fx.SIMILARITY_RUN_DATE, categories=CATEGORIES)
+
+
+def _overwritten(spark, d, clear):
+    """Brands per category written for two days, the second day rerun for some categories, read back."""
+    labels = q_brand_labels(spark, d)
+    n = labels.groupBy("cid3").agg(F.count_distinct("brand_code").alias("n"))
+    days = [dt_value(x) for x in (fx.SIMILARITY_RUN_DATE, fx.ORDER_RUN_DATE)]
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-overwrite/{uuid.uuid4().hex}"
+    overwrite_partitions(n.withColumn("dt", F.explode(F.array(*days))), target, ("dt", "cid3"))
+    rerun = n.filter(F.length("cid3") % 2 == 0).withColumn("n", F.col("n") * 10).withColumn("dt", days[1])
+    overwrite_partitions(rerun, target, ("dt", "cid3"), clear=clear)
+    return spark.read.schema("n bigint, dt string, cid3 string").parquet(target)
+
+
+def q_partition_overwrite_dynamic(spark, d):
+    return _overwritten(spark, d, [])
+
+
+def q_partition_overwrite_static(spark, d):
+    return _overwritten(spark, d, [{"dt": fx.ORDER_RUN_DATE.isoformat()}])
+
+
 def q_symmetric_matches(spark, d):
     return symmetric_matches(latest_snapshot(fx.sku_match(spark, d), "dt"))
 
@@ -173,6 +225,13 @@ QUERIES: dict[str, Query] = {
     "market_spend_flow": q_market_spend_flow,
     "market_profile": q_market_profile,
     "category_list": q_category_list,
+    "market_list": q_market_list,
+    "scaled_loyalty": q_scaled_loyalty,
+    "brand_profile_of_categories": q_brand_profile_of_categories,
+    "market_profile_of_categories": q_market_profile_of_categories,
+    "similar_brands_of_categories": q_similar_brands_of_categories,
+    "partition_overwrite_dynamic": q_partition_overwrite_dynamic,
+    "partition_overwrite_static": q_partition_overwrite_static,
     "symmetric_matches": q_symmetric_matches,
     "overlap_by_category": q_overlap_by_category,
     "overlap_pooled": q_overlap_pooled,

@@ -18,49 +18,64 @@ import datetime as _dt
 import functools
 import hashlib
 import threading
-import warnings
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivalry.functions.numeric import AMOUNT_TYPE, GMV_TYPE
-from rivalry.session import ensure_checkpoint_dir
+from rivalry.session import checkpoint_folder
 from rivalry.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture mapping (FIXTURES.md)
 # ---------------------------------------------------------------------------
-ORDER_RUN_DATE = _dt.date(2001, 8, 1)      # profile runs; latest switching snapshot
+ORDER_RUN_DATE = _dt.date(2001, 8, 1)      # profile runs; latest switching snapshot of some categories
+OTHER_SWITCH_DATE = _dt.date(2001, 7, 15)  # latest switching snapshot of the others
+STALE_DIM_DATE = _dt.date(2001, 5, 1)      # older snapshot of the SKU dimension and market definitions
 SIMILARITY_RUN_DATE = _dt.date(2001, 7, 31)  # "yesterday" for overlap / volume jobs
+STALE_MATCH_DATE = _dt.date(2001, 6, 30)   # older snapshot of matched pairs and vendor shops
 CLICK_RUN_DATE = _dt.date(2024, 1, 30)     # co-view runs
-STALE_SWITCH_DATE = _dt.date(2000, 12, 31)  # older switching snapshot (year 2000)
-SWITCH_YEARS = (2000, 2001)
 # user_id % 5 → channel code; '99' is not a kept channel.
 CHANNEL_BY_MOD5 = ("1", "13", "8", "311210", "99")
-# Values removed from the market definitions so the definition join bites.
+# Values removed from the latest market definitions so the definition join bites.
 EXCLUDED_MARKET_VALUES = ("red", "bolt")
-# Matched pairs: same name, same size mod 5, partner key 1..MATCH_SPAN above.
-MATCH_SPAN = 200
 PROB_SCALE = 1_000_000
 # ---------------------------------------------------------------------------
 
 
+def _rows(*structs: Column) -> Column:
+    """The structs that aren't null, one row each."""
+    return F.inline(F.array_compact(F.array(*structs)))
+
+
 def derive_sku_dim(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SKU dimension (sku_id, cid3, cid3_name, brand_code, brand_name, valid_flag, dt)."""
+    """SKU dimension (sku_id, cid3, cid3_name, brand_code, brand_name, valid_flag, dt).
+
+    Some SKUs are listed under a second code or a second name, and an older
+    snapshot lists some under another brand.
+    """
     p = read_table(spark, data_dir, "part")
+    key, brand = F.col("p_partkey"), F.col("p_brand")
+    valid = F.when(F.col("p_size") % 10 == 0, 0).otherwise(1).cast("int")
+
+    def listed(code, name, flag, dt):
+        return F.struct(code.alias("brand_code"), name.alias("brand_name"), flag.alias("valid_flag"), F.lit(dt).alias("dt"))
+
+    name = F.concat(F.lit("Name of "), brand)
     return p.select(
-        F.col("p_partkey").alias("sku_id"),
-        F.col("p_type").alias("cid3"),
-        F.concat(F.lit("Category "), F.col("p_type")).alias("cid3_name"),
-        F.col("p_brand").alias("brand_code"),
-        F.concat(F.lit("Name of "), F.col("p_brand")).alias("brand_name"),
-        F.when(F.col("p_size") % 10 == 0, 0).otherwise(1).cast("int").alias("valid_flag"),
-        F.lit(ORDER_RUN_DATE).alias("dt"),
-    )
+        key.alias("sku_id"), F.col("p_type").alias("cid3"), F.concat(F.lit("Category "), F.col("p_type")).alias("cid3_name"),
+        _rows(listed(brand, name, valid, ORDER_RUN_DATE),
+              F.when(key % 11 == 0, listed(F.concat(brand, F.lit("z")), name, valid, ORDER_RUN_DATE)),
+              F.when(key % 7 == 0, listed(brand, F.concat(F.lit("Alias of "), brand), valid, ORDER_RUN_DATE)),
+              F.when(key % 5 == 0, listed(F.concat(F.lit("Old#"), brand), F.concat(F.lit("Former "), brand),
+                                          F.lit(1).cast("int"), STALE_DIM_DATE))))
 
 
 def derive_order_det(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Order lines (sku_id, cid3, brand_code, okey, dt, amount decimal, qty)."""
+    """Order lines (sku_id, cid3, brand_code, okey, dt, amount decimal, qty).
+
+    The orders of some keys are returns (negative amount) or have no quantity.
+    """
     li = read_table(spark, data_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_quantity")
     o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -74,8 +89,8 @@ def derive_order_det(spark: SparkSession, data_dir: str) -> DataFrame:
                       F.col("p_brand").alias("brand_code"),
                       F.col("l_orderkey").alias("okey"),
                       F.to_date("o_orderdate").alias("dt"),
-                      amount.cast(AMOUNT_TYPE).alias("amount"),
-                      F.col("l_quantity").alias("qty")))
+                      (F.when(F.col("l_orderkey") % 19 == 0, -amount).otherwise(amount)).cast(AMOUNT_TYPE).alias("amount"),
+                      F.when(F.col("l_orderkey") % 23 == 0, F.lit(0.0)).otherwise(F.col("l_quantity")).alias("qty")))
 
 
 def derive_sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -84,10 +99,12 @@ def derive_sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
     Stand-in built from basket co-occurrence: for each year, n(src, dst) =
     Σ over orders of k_src·k_dst (k = lines of the SKU in the order, same
     category, self pairs included); the probability is n over the source's
-    total, floored to six decimals.  The counts are pre-aggregated per order
-    before the self-join, so each order contributes one row per SKU pair.
+    total, floored to six decimals.  Each year of orders is one dated
+    snapshot; the last one is dated differently by category.  The counts are
+    pre-aggregated per order before the self-join, so each order contributes
+    one row per SKU pair.
     """
-    od = order_det(spark, data_dir).filter(F.year("dt").isin(*SWITCH_YEARS))
+    od = order_det(spark, data_dir)
     k = (od.groupBy(F.year("dt").alias("yr"), "okey", "cid3", "sku_id")
            .agg(F.count(F.lit(1)).alias("k")))
     a = k.select("yr", "okey", "cid3", F.col("sku_id").alias("src_item_id"), F.col("k").alias("ka"))
@@ -99,111 +116,132 @@ def derive_sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
     tot = F.sum("n").over(Window.partitionBy("yr", "cid3", "src_item_id"))
     q = F.expr(f"(n * {PROB_SCALE}) div tot")
     prob = (q.cast("double") / PROB_SCALE).cast("decimal(10,6)")
-    snap = F.when(F.col("yr") == SWITCH_YEARS[0], F.lit(STALE_SWITCH_DATE)).otherwise(F.lit(ORDER_RUN_DATE))
+    last = F.when(F.length("cid3") % 2 == 0, F.lit(ORDER_RUN_DATE)).otherwise(F.lit(OTHER_SWITCH_DATE))
+    snap = F.when(F.col("yr") == ORDER_RUN_DATE.year, last).otherwise(F.make_date("yr", F.lit(12), F.lit(31)))
     return (n.withColumn("tot", tot)
              .select("cid3", "src_item_id", "dst_item_id",
                      prob.alias("switching_prob"), snap.alias("dt")))
 
 
 def derive_sku_attrs(spark: SparkSession, data_dir: str) -> DataFrame:
-    """I4: SKU attributes, long form (sku_id, cid3, attr_name, attr_value, web_id)."""
+    """I4: SKU attributes, long form (sku_id, cid3, attr_name, attr_value, web_id); some SKUs have two colours."""
     p = read_table(spark, data_dir, "part")
-    words = F.split(F.col("p_name"), " ")
-    color = p.select(F.col("p_partkey").alias("sku_id"), F.col("p_type").alias("cid3"),
-                     F.lit("color").alias("attr_name"), F.element_at(words, 1).alias("attr_value"),
-                     F.lit(0).alias("web_id"))
-    shape = p.select(F.col("p_partkey").alias("sku_id"), F.col("p_type").alias("cid3"),
-                     F.lit("shape").alias("attr_name"), F.element_at(words, 2).alias("attr_value"),
-                     F.when(F.col("p_size") % 10 == 0, 1).otherwise(0).alias("web_id"))
-    return color.unionByName(shape)
+    words, key = F.split(F.col("p_name"), " "), F.col("p_partkey")
+
+    def attr(name, value, web):
+        return F.struct(F.lit(name).alias("attr_name"), value.alias("attr_value"), web.cast("int").alias("web_id"))
+
+    other = F.when(key % 2 == 0, F.lit("amber")).otherwise(F.lit("zinc"))
+    return p.select(key.alias("sku_id"), F.col("p_type").alias("cid3"), _rows(
+        attr("color", F.element_at(words, 1), F.lit(0)),
+        attr("shape", F.element_at(words, 2), F.when(F.col("p_size") % 10 == 0, 1).otherwise(0)),
+        F.when(key % 9 == 0, attr("color", other, F.lit(0)))))
 
 
 def derive_market_defs(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Market definitions (cid3, cid3_name, attr_name, attr_value, dt)."""
-    a = sku_attrs(spark, data_dir)
-    return (a.filter((F.col("web_id") == 0) & ~F.col("attr_value").isin(*EXCLUDED_MARKET_VALUES))
-             .select("cid3", F.concat(F.lit("Category "), F.col("cid3")).alias("cid3_name"),
-                     "attr_name", "attr_value", F.lit(ORDER_RUN_DATE).alias("dt"))
-             .distinct())
+    """Market definitions (cid3, cid3_name, attr_name, attr_value, dt); the older snapshot has all values."""
+    a = sku_attrs(spark, data_dir).filter(F.col("web_id") == 0).select("cid3", "attr_name", "attr_value").distinct()
+    now = F.when(~F.col("attr_value").isin(*EXCLUDED_MARKET_VALUES), F.struct(F.lit(ORDER_RUN_DATE).alias("dt")))
+    return a.select("cid3", F.concat(F.lit("Category "), F.col("cid3")).alias("cid3_name"), "attr_name", "attr_value",
+                    _rows(now, F.struct(F.lit(STALE_DIM_DATE).alias("dt"))))
 
 
 def derive_clicks(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Click log (sku_id, request_tm, request_dt, session_id, bs, brand_code, cid3, dt)."""
+    """Click log (sku_id, request_tm, request_dt, session_id, bs, brand_code, cid3, dt).
+
+    Some clicks are 80 days older, some have no session, and some SKUs are of
+    a brand that the SKU dimension doesn't know.
+    """
     ev = read_table(spark, data_dir, "events")
     p = read_table(spark, data_dir, "part").select(
-        F.col("p_partkey").alias("sku_id"), F.col("p_brand").alias("brand_code"),
+        F.col("p_partkey").alias("sku_id"),
+        F.when(F.col("p_partkey") % 17 == 0, F.lit("Ghost")).otherwise(F.col("p_brand")).alias("brand_code"),
         F.col("p_type").alias("cid3"))
     bs = F.element_at(F.array(*[F.lit(c) for c in CHANNEL_BY_MOD5]),
                       (F.col("user_id") % 5 + 1).cast("int"))
+    ts = F.when(F.col("event_id") % 37 == 0, F.col("ts") - F.expr("INTERVAL 80 DAYS")).otherwise(F.col("ts"))
     log = ev.select(
-        F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint").alias("sku_id"),
-        F.col("ts").alias("request_tm"),
-        F.to_date("ts").alias("request_dt"),
-        F.col("user_id").alias("session_id"),
+        (F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint") + 100 * (F.col("event_id") % 20)).alias("sku_id"),
+        ts.alias("request_tm"),
+        F.to_date(ts).alias("request_dt"),
+        F.when(F.col("event_id") % 31 != 0, F.col("user_id")).alias("session_id"),
         bs.alias("bs"),
-        F.to_date("ts").alias("dt"))
+        F.to_date(ts).alias("dt"))
     return log.join(p, "sku_id").select(
         "sku_id", "request_tm", "request_dt", "session_id", "bs", "brand_code", "cid3", "dt")
 
 
 def derive_sku_match(spark: SparkSession, data_dir: str) -> DataFrame:
-    """One-directional matched SKU pairs (cid3_1, main_sku_id1, brand_code1, brand_name1, …2, dt).
-
-    Stand-in matcher: a SKU matches the SKUs 1..MATCH_SPAN keys above it with
-    the same name and the same size mod 5.  The band is joined through
-    buckets of MATCH_SPAN keys: a partner lies in the SKU's bucket or the
-    next, so partners are replicated into their own bucket and the one below
-    and equi-joined on (name, size mod 5, bucket) with the band as residual.
-    Each pair is formed once; each SKU has at most MATCH_SPAN partners.
+    """Matched SKU pairs (cid3_1, main_sku_id1, brand_code1, brand_name1, …2, dt).
+
+    Stand-in matcher: two SKUs of the same name match if some order has both.
+    An order's lines bound its pairs, so the join grows with the orders.  Some
+    pairs are listed in both directions; some are in the older snapshot only.
     """
-    p = read_table(spark, data_dir, "part").select(
-        "p_partkey", "p_name", (F.col("p_size") % 5).alias("size5"), "p_type", "p_brand")
-    bucket = F.floor(F.col("p_partkey") / MATCH_SPAN)
-    a = p.select(F.col("p_partkey").alias("main_sku_id1"), "p_name", "size5",
-                 F.col("p_type").alias("cid3_1"), F.col("p_brand").alias("brand_code1"),
-                 bucket.alias("bucket"))
-    b = p.select(F.col("p_partkey").alias("main_sku_id2"), "p_name", "size5",
-                 F.col("p_type").alias("cid3_2"), F.col("p_brand").alias("brand_code2"),
-                 F.explode(F.array(bucket, bucket - 1)).alias("bucket"))
-    gap = F.col("main_sku_id2") - F.col("main_sku_id1")
-    m = a.join(b, ["p_name", "size5", "bucket"]).filter(gap.between(1, MATCH_SPAN))
-    return m.select(
-        "cid3_1", "main_sku_id1", "brand_code1",
-        F.concat(F.lit("Name of "), F.col("brand_code1")).alias("brand_name1"),
-        "cid3_2", "main_sku_id2", "brand_code2",
-        F.concat(F.lit("Name of "), F.col("brand_code2")).alias("brand_name2"),
-        F.lit(SIMILARITY_RUN_DATE).alias("dt"))
+    p = read_table(spark, data_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
+    li = (read_table(spark, data_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
+          .join(p.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey"))
+    a = li.select("l_orderkey", "p_name", F.col("l_partkey").alias("a"))
+    b = li.select("l_orderkey", "p_name", F.col("l_partkey").alias("b"))
+    pairs = a.join(b, ["l_orderkey", "p_name"]).filter("a < b").select("a", "b").distinct()
+    pair, total = F.struct(F.col("a").alias("main_sku_id1"), F.col("b").alias("main_sku_id2")), F.col("a") + F.col("b")
+    back = F.struct(F.col("b").alias("main_sku_id1"), F.col("a").alias("main_sku_id2"))
+    dt = F.when(total % 7 == 0, F.lit(STALE_MATCH_DATE)).otherwise(F.lit(SIMILARITY_RUN_DATE)).alias("dt")
+    both = pairs.select(dt, _rows(pair, F.when(total % 5 == 0, back)))
+    for i in (1, 2):
+        both = both.join(p.select(F.col("p_partkey").alias(f"main_sku_id{i}"), F.col("p_type").alias(f"cid3_{i}"),
+                                  F.col("p_brand").alias(f"brand_code{i}"),
+                                  F.concat(F.lit("Name of "), F.col("p_brand")).alias(f"brand_name{i}")), f"main_sku_id{i}")
+    return both.select(*[f"{c}{i}" for i in (1, 2) for c in ("cid3_", "main_sku_id", "brand_code", "brand_name")], "dt")
 
 
 def derive_sku_sales(spark: SparkSession, data_dir: str) -> DataFrame:
-    """I8: daily SKU sales (cid3, brand_code, sku_id, gmv decimal, sale_qtty, dt)."""
+    """I8: daily SKU sales (cid3, brand_code, sku_id, gmv decimal, sale_qtty, dt).
+
+    Some SKUs sell for the same sum every day; one brand has net returns in some categories.
+    """
+    total = F.when(F.col("sku_id") % 10 == 0, F.lit(500).cast("decimal(22,4)")).otherwise(F.col("total"))
+    returns = (F.col("brand_code") == "Brand#1") & (F.length("cid3") == 5)
     return (order_det(spark, data_dir)
             .groupBy("cid3", "brand_code", "sku_id", "dt")
-            .agg(F.sum("amount").cast(GMV_TYPE).alias("gmv"), F.sum("qty").alias("sale_qtty")))
+            .agg(F.sum("amount").cast(GMV_TYPE).alias("total"), F.sum("qty").alias("sale_qtty"))
+            .select("cid3", "brand_code", "sku_id", "dt",
+                    F.when(returns, -F.abs(total)).otherwise(total).cast(GMV_TYPE).alias("gmv"), "sale_qtty"))
 
 
 def derive_declared_links(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Vendor-declared rival URLs (vender_id, similarity_url)."""
+    """Vendor-declared rival URLs (vender_id, similarity_url), some of them malformed."""
     s = read_table(spark, data_dir, "supplier")
-    url = F.concat(F.lit("https://shop"), ((F.col("s_suppkey") * 7 + 3) % 10).cast("string"),
-                   F.lit(".example.com/"))
-    return s.select(F.col("s_suppkey").alias("vender_id"), url.alias("similarity_url"))
+    key = F.col("s_suppkey")
+    url = F.concat(F.lit("https://shop"), ((key * 7 + 3) % 10).cast("string"), F.lit(".example.com/"))
+    odd = (F.when(key % 13 == 1, F.lit("nocolon")).when(key % 13 == 2, F.lit("http://a:80/"))
+           .when(key % 13 == 3, F.lit("")).when(key % 13 != 4, url))
+    return s.select(key.alias("vender_id"), odd.alias("similarity_url"))
 
 
 def derive_vendor_shops(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Vendor shops (vender_id, shop_url, dt)."""
+    """Vendor shops (vender_id, shop_url, dt); in the older snapshot each had its successor's URL."""
     s = read_table(spark, data_dir, "supplier")
-    url = F.concat(F.lit("http://shop"), F.col("s_suppkey").cast("string"), F.lit(".example.com"))
-    return s.select(F.col("s_suppkey").alias("vender_id"), url.alias("shop_url"),
-                    F.lit(SIMILARITY_RUN_DATE).alias("dt"))
+    key = F.col("s_suppkey")
+
+    def shop(k, dt):
+        return F.struct(F.concat(F.lit("http://shop"), k.cast("string"), F.lit(".example.com")).alias("shop_url"),
+                        F.lit(dt).alias("dt"))
+
+    return s.select(key.alias("vender_id"), _rows(shop(key, SIMILARITY_RUN_DATE), shop(key + 1, STALE_MATCH_DATE)))
 
 
 _STORE_ATTR = "_rivalry_inputs"
 _STORE_LOCK = threading.RLock()  # queries may be built from several threads of one session
 
 
-def _stored(name: str, derive):
-    """Derive input ``name`` once per session and data directory, store it, read it back."""
+def _stored(name: str, derive, by_day: bool = False):
+    """Derive input ``name`` once per session and data directory, store it, read it back.
+
+    ``by_day`` inputs are stored partitioned by ``dt``, as their tables are.
+    Without a checkpoint folder the derivation is used as it is; what fails
+    while it is computed or stored fails the query.
+    """
 
     @functools.wraps(derive)
     def load(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -217,15 +255,14 @@ def _stored(name: str, derive):
             setattr(spark, _STORE_ATTR, store)
         key = (str(data_dir).rstrip("/"), name)
         if key not in store:
+            derived, folder = derive(spark, data_dir), checkpoint_folder(spark)
+            if folder is None:
+                return derived
             tag = hashlib.sha1(key[0].encode()).hexdigest()[:12]
-            derived = derive(spark, data_dir)
-            try:
-                path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-inputs/{tag}/{name}"
-                derived.write.mode("overwrite").parquet(path)
-                store[key] = spark.read.parquet(path)
-            except Exception as exc:  # no writable shared folder: use the lazy derivation
-                warnings.warn(f"input {name} not stored ({exc.__class__.__name__}); deriving it per query")
-                store[key] = derived
+            path = f"{folder.rstrip('/')}/rivalry-inputs/{tag}/{name}"
+            writer = derived.repartition("dt").write.partitionBy("dt") if by_day else derived.write
+            writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+            store[key] = spark.read.schema(derived.schema).parquet(path)
         return store[key]
 
     load.__name__ = name
@@ -233,13 +270,13 @@ def _stored(name: str, derive):
     return load
 
 
-sku_dim = _stored("sku_dim", derive_sku_dim)
+sku_dim = _stored("sku_dim", derive_sku_dim, by_day=True)
 order_det = _stored("order_det", derive_order_det)
-sku_switch = _stored("sku_switch", derive_sku_switch)
+sku_switch = _stored("sku_switch", derive_sku_switch, by_day=True)
 sku_attrs = _stored("sku_attrs", derive_sku_attrs)
-market_defs = _stored("market_defs", derive_market_defs)
-clicks = _stored("clicks", derive_clicks)
-sku_match = _stored("sku_match", derive_sku_match)
+market_defs = _stored("market_defs", derive_market_defs, by_day=True)
+clicks = _stored("clicks", derive_clicks, by_day=True)
+sku_match = _stored("sku_match", derive_sku_match, by_day=True)
 sku_sales = _stored("sku_sales", derive_sku_sales)
 declared_links = _stored("declared_links", derive_declared_links)
-vendor_shops = _stored("vendor_shops", derive_vendor_shops)
+vendor_shops = _stored("vendor_shops", derive_vendor_shops, by_day=True)

@@ -80,10 +80,25 @@ def test_probabilities_sum_to_one_and_counts_symmetric(spark, small_dir):
     assert all(pv[(c, b, a)] == v for (c, a, b), v in pv.items())
 
 
-def test_hot_group_salting_is_exact(spark):
-    # Split every group (hot_brands=1) into 4 buckets: same counts as unsplit.
+def test_hot_group_grid_is_exact(spark):
+    # Split every group (hot_brands=1) into a grid of cells: same counts as unsplit.
     rows = [click(1, b) for b in "AABCC"] + [click(2, "B"), click(2, "C")]
     plain = {k: r.page_views_switch for k, r in run(spark, rows).items()}
-    salted = {k: r.page_views_switch for k, r in run(spark, rows, hot_brands=1, salt_buckets=4).items()}
+    salted = {k: r.page_views_switch for k, r in run(spark, rows, hot_brands=1).items()}
     assert plain == salted
     assert plain[("A", "C")] == 4 and plain[("C", "C")] == 5
+
+
+def test_grid_cells_stay_bounded_as_a_session_grows(spark):
+    from pyspark.sql import functions as F
+
+    from rivalry.operators.coview import GROUP_KEYS, HOT_GROUP_BRANDS, _brand_pairs
+    assert HOT_GROUP_BRANDS > 0
+    for brands in (40, 160, 320):
+        counts = spark.range(brands).select(*[F.lit("g").alias(k) for k in GROUP_KEYS],
+                                            F.col("id").cast("string").alias("brand_code"), F.lit(1).alias("k"))
+        pairs = _brand_pairs(counts, 20)
+        assert pairs.count() == brands ** 2
+        cells = brands // 20
+        of = F.pmod(F.xxhash64("from_brand_code"), F.lit(cells)), F.pmod(F.xxhash64("to_brand_code"), F.lit(cells))
+        assert pairs.groupBy(*of).count().agg(F.max("count")).first()[0] <= 4 * 20 ** 2

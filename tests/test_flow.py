@@ -125,3 +125,15 @@ def test_scale_zero_range_is_null(spark):
     assert [p for c, p in rows if c in ("c", "d")] == [None, None, None]
     e = sorted(p for c, p in rows if c == "e")
     assert e[0] == 0.0 and e[-1] == 100.0 and e[1] == pytest.approx(50.0)
+
+
+def test_ratios_divide_exact_sums(spark):
+    # Flows far below the four decimals of money: the ratios still stand.
+    from decimal import Decimal
+
+    from rivalry.operators.flow import loyalty, switch_in
+    rows = [("c", "A", "A", Decimal("0.0000300000")), ("c", "A", "B", Decimal("0.0000100000")),
+            ("c", "B", "A", Decimal("0.0000100000")), ("c", "B", "B", Decimal("0.0000100000"))]
+    flow = spark.createDataFrame(rows, "cid3 string, src_brand_code string, dst_brand_code string, spend_switch decimal(30,10)")
+    assert {r.brand_code: (r.loyalty, r.switch_out_prob) for r in loyalty(flow).collect()} == {"A": (0.75, 0.25), "B": (0.5, 0.5)}
+    assert {r.brand_code: r.switch_in_prob for r in switch_in(flow).collect()} == {"A": 0.5, "B": 0.25}

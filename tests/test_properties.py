@@ -34,13 +34,13 @@ def brute_force(rows):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=st.lists(click, min_size=1, max_size=25), hot=st.integers(1, 4), buckets=st.integers(1, 5))
-def test_coview_equals_brute_force(spark, rows, hot, buckets):
+@given(rows=st.lists(click, min_size=1, max_size=25), hot=st.integers(1, 4))
+def test_coview_equals_brute_force(spark, rows, hot):
     df = spark.createDataFrame(
         [(1, dt.datetime.combine(d, dt.time(9)), d, s, bs, brand, cid3, d) for s, bs, d, cid3, brand in rows],
         CLICKS)
     brands = spark.createDataFrame([(b,) for b in KNOWN], "brand_code string")
-    out = coview_switch(df, brands, end=END, hot_brands=hot, salt_buckets=buckets).collect()
+    out = coview_switch(df, brands, end=END, hot_brands=hot).collect()
     got = {(r.cid3, r.from_brand_code, r.to_brand_code): r.page_views_switch for r in out}
     assert got == dict(brute_force(rows))
     totals = Counter()

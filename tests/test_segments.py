@@ -68,13 +68,36 @@ def test_market_labels_web_id_and_definitions(spark):
 
 
 def test_checked_broadcast_hints_only_under_the_bound(spark):
-    over = checked_broadcast(spark.range(10).select("id"), max_rows=5)
+    over = checked_broadcast(spark.range(10).select("id"), max_bytes=5)
     assert "broadcast" not in _analyzed(over).lower()
-    under = checked_broadcast(spark.range(10).select("id"), max_rows=100)
+    under = checked_broadcast(spark.range(10).select("id"), max_bytes=1000)
     assert "broadcast" in _analyzed(under).lower()
     assert "BroadcastHashJoin" in spark.range(1000).join(under, "id")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_checked_broadcast_lets_errors_rise(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    bad = spark.range(3).select(F.raise_error(F.lit("broken input")).alias("id"))
+    with pytest.raises(Exception, match="broken input"):
+        checked_broadcast(bad)
+
+
+def test_stored_inputs_let_errors_rise(spark, tmp_path):
+    import pytest
+    from rivalry.sources import fixtures as fx
+    spark.createDataFrame([("x",)], "p_partkey string").write.parquet(str(tmp_path / "part.parquet"))
+    with pytest.raises(Exception, match="(?i)unresolved|cannot resolve"):
+        fx.sku_dim(spark, str(tmp_path))
+
+
+def test_no_job_without_a_checkpoint_folder(spark, monkeypatch):
+    import rivalry.functions.joins as joins
+    monkeypatch.setattr(joins, "checkpoint_folder", lambda s: None)
+    df = spark.range(3)
+    assert checked_broadcast(df) is df
+
+
 def _analyzed(df):
     return df._jdf.queryExecution().analyzed().toString()
 
@@ -88,6 +111,32 @@ def test_overwrite_partitions_keeps_other_dates(spark, tmp_path):
     assert got == [(1, D(2001, 1, 1)), (9, D(2001, 1, 2))]
 
 
+def test_overwrite_clears_partitions_that_the_rerun_lacks(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [(1, "a b/c", "2001-01-01"), (2, "d", "2001-01-01"), (3, "d", "2001-01-02")]
+    first = spark.createDataFrame(rows, "v int, cid3 string, dt string")
+    overwrite_partitions(first, path, ("dt", "cid3"), fmt="orc")
+    overwrite_partitions(first.filter("v = 2"), path, ("dt", "cid3"), fmt="orc", clear=[{"dt": "2001-01-01", "cid3": "a b/c"}])
+    read = lambda: sorted(tuple(r) for r in spark.read.orc(path).selectExpr("v", "cid3", "string(dt)").collect())
+    assert read() == rows[1:]
+    overwrite_partitions(first.limit(0), path, ("dt", "cid3"), fmt="orc", clear=[{"dt": "2001-01-01"}])
+    assert read() == rows[2:]
+
+
+def test_overwrite_of_a_catalog_table(spark):
+    import uuid
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    rows = [(1, "it's", "2001-01-01"), (2, "d", "2001-01-01"), (3, "d", "2001-01-02")]
+    first = spark.createDataFrame(rows, "v int, cid3 string, dt string")
+    overwrite_partitions(first, f"table:{name}", ("dt", "cid3"))
+    overwrite_partitions(first.filter("v = 2").withColumn("v", first.v * 10), f"table:{name}", ("dt", "cid3"))
+    read = lambda: sorted(tuple(r) for r in spark.table(name).select("v", "cid3", "dt").collect())
+    assert read() == [rows[0], rows[2], (20, "d", "2001-01-01")]
+    overwrite_partitions(first.limit(0), f"table:{name}", ("dt", "cid3"), clear=[{"dt": "2001-01-01"}])
+    assert read() == [rows[2]]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_results_unchanged_when_nothing_may_be_broadcast(spark, small_dir, monkeypatch):
     # Beyond the bound the small frames are joined by shuffle; results must not change.
     import rivalry.functions.joins as joins
