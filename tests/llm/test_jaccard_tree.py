@@ -93,7 +93,8 @@ def test_query_equals_sql(spark, small_dir):
 
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (7, 7)] + [(500, i) for i in range(300, 340)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {i: 0 for i in range(41)} | {100: 100, 200: 100, 150: 100} | {i: 300 for i in [500, *range(300, 340)]}
-    assert got == want
+    for task_links in (None, 30):
+        found = components(spark.createDataFrame(links, "a long, b long"), task_links).collect()
+        assert len(found) == len(want) and {r.node: r.root for r in found} == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
