@@ -8,7 +8,9 @@ are compared.
 2. ``shared`` finds, per class, the shingles that another class holds too: a
    shingle's classes meet in one record range, where equal (shingle, class)
    pairs are one.  A class whose shared shingles are fewer than
-   ceil(num * size / den) can link with nothing and goes.
+   ceil(num * size / den) can link with nothing and goes.  Shingles of a
+   large part of all rows (``OFTEN``) don't meet anywhere: they are known to
+   be shared and count as the commonest of all.
 3. ``blocks`` connects classes that share one of their rarest shingles: of two
    that link, one of the first (shared - needed + 1) by rarity is common, so
    linked classes are in one block.
@@ -50,6 +52,9 @@ K, NUM, DEN = 4, 85, 100
 GATHER, RANGE = 2_000_000, 3_000_000
 #: Classes of a unit on average, members of a leaf, children of a node, and bits of a bitmap.
 UNIT, LEAF, CHILDREN, BITS = 1024, 16, 4, 4096
+#: Part of the rows in which a shingle counts as one of the commonest; such shingles are at most 2 / OFTEN times the
+#: shingles of an average row.
+OFTEN = 0.02
 _SET = np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -91,6 +96,7 @@ def classes(docs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, key, cls, n) of every row of ``docs``; n is the size of its set, 0 for an empty one.
 
     ``key`` is a hash of the row's id and text: rows that share it are alike.
+    Rows with n = -1 are counts: ``key`` rows of a slice hold the shingle ``cls``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,23 +105,49 @@ def classes(docs: DataFrame, k: int = K) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:1], batch.column(2).slice(lo, hi - lo),
                                                   pa.array(set_keys(h, offs)), pa.array(np.diff(offs))],
                                                  ["doc_id", "key", "cls", "n"])
+                h, count = np.unique(h, return_counts=True)
+                many = count >= max(4, OFTEN / 2 * (hi - lo))
+                if many.any():
+                    h, count = h[many].view(np.int64), count[many]
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.array(count), pa.array(h),
+                                                      pa.array(np.full(len(h), -1))], ["doc_id", "key", "cls", "n"])
 
     return (docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
             .mapInArrow(run, "doc_id long, key long, cls long, n long"))
 
 
-def shared(docs: DataFrame, sizes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def commonest(own: DataFrame) -> np.ndarray:
+    """Shingles that the slices of ``classes`` count in at least half of ``OFTEN`` of all rows (bounded, see there)."""
+    rows = own.filter("n >= 0").count()
+    found = (own.filter("n = -1").groupBy("cls").agg(F.sum("key").alias("rows"))
+             .filter(F.col("rows") >= max(4, OFTEN / 2 * rows)).select("cls").collect())
+    return np.sort(np.array([r.cls for r in found], np.int64).view(np.uint64))
+
+
+def shared(docs: DataFrame, total: int, common: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """(cls, n, route, toks): classes that can link, their shared shingles by rarity, and how many of them route.
 
-    ``sizes`` has (cls, n), one row per class.
+    ``total`` is about the number of shingles of all classes; ``common`` are those that needn't meet.
     """
-    total = sizes.agg(F.sum("n")).first()[0] or 0  # a bound: each class's shingles once
+    often = docs.sparkSession.sparkContext.broadcast(common)
     ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // RANGE)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sent(h, cls) -> pa.RecordBatch:
-            # Classes first: within a receiver's record their runs compress well.
-            return packed.pack(packed.receivers(h, ranges), [h.astype(np.uint32), cls], ["toks", "cls"])
+        common = often.value
+
+        def sent(h, cls) -> Iterator[pa.RecordBatch]:
+            to = packed.receivers(h, ranges)
+            own, n = np.unique(cls, return_counts=True)  # whole sets: their sizes go straight to the classes
+            yield packed.pack(packed.receivers(ta.mix(own.view(np.uint64)), ranges) + 2 * ranges, [n.astype(np.uint64), own],
+                              ["toks", "cls"])
+            if len(common):
+                at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+                here = common[at] == h
+                full = (to[here].astype(np.uint64) << np.uint64(32)) | (h[here] & np.uint64(0xFFFFFFFF))
+                yield packed.pack(packed.receivers(ta.mix(cls[here].view(np.uint64)), ranges) + ranges, [full, cls[here]],
+                                  ["toks", "cls"])
+                to, h, cls = to[~here], h[~here], cls[~here]
+            yield packed.pack(to, [h.astype(np.uint32), cls], ["toks", "cls"])
 
         gather, seen = packed.Collector(GATHER), np.zeros(0, np.int64)
         for batch in batches:
@@ -126,13 +158,19 @@ def shared(docs: DataFrame, sizes: DataFrame, k: int, num: int, den: int) -> Dat
                 n = np.diff(offs)[first]
                 seen = np.union1d(seen, cls[first])
                 if gather.add(h[ta.flat_ranges(offs[first], n)], np.repeat(cls[first], n)):
-                    yield sent(*gather.take())
+                    yield from sent(*gather.take())
                     seen = np.zeros(0, np.int64)
         if gather.size:
-            yield sent(*gather.take())
+            yield from sent(*gather.take())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for to, own in packed.by_key(batches):
+            if to >= ranges:  # on their way to their classes
+                tok, cls = packed.unpack(own, {1: np.uint64, 2: np.int64})
+                kind = 0xFFFFFFFF if to < 2 * ranges else 0  # the commonest of all; a size
+                yield packed.pack(np.full(len(cls), to % ranges), [cls, tok, np.full(len(cls), kind, np.uint32)],
+                                  ["cls", "toks", "df"])
+                continue
             tok, cls = packed.unpack(own, {1: np.uint32, 2: np.int64})
             order = np.lexsort((cls, tok))
             tok, cls = tok[order], cls[order]
@@ -150,27 +188,34 @@ def shared(docs: DataFrame, sizes: DataFrame, k: int, num: int, den: int) -> Dat
             full = (np.uint64(to) << np.uint64(32)) | tok[order].astype(np.uint64)
             cls = cls[order]
             yield packed.pack(packed.receivers(ta.mix(cls.view(np.uint64)), ranges), [
-                cls, full, np.minimum(df[order], 0xFFFFFFFF).astype(np.uint32)], ["cls", "toks", "df"])
+                cls, full, np.minimum(df[order], 0xFFFFFFFE).astype(np.uint32)], ["cls", "toks", "df"])
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in packed.by_key(batches):
             cls, tok, df = packed.unpack(own, {1: np.int64, 2: np.uint64, 3: np.uint32})
             order = np.lexsort((tok, df, cls))
-            cls, tok = cls[order], tok[order].view(np.int64)
+            cls, tok, df = cls[order], tok[order].view(np.int64), df[order]
+            new = np.ones(len(cls), bool)
+            new[1:] = (cls[1:] != cls[:-1]) | (tok[1:] != tok[:-1]) | (df[1:] != df[:-1])
+            cls, tok = cls[new], tok[new]
             head = np.ones(len(cls), bool)
             head[1:] = cls[1:] != cls[:-1]
             at = np.append(np.flatnonzero(head), len(cls))
-            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(tok))
-            yield pa.RecordBatch.from_arrays([pa.array(cls[at[:-1]]), lists], ["cls", "toks"])
+            cls, n, size = cls[at[:-1]], tok[at[:-1]], np.diff(at) - 1  # a class's size comes first
+            need = (num * n + den - 1) // den
+            can = np.flatnonzero(size >= need)
+            tok = tok[ta.flat_ranges(at[:-1][can] + 1, size[can])]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size[can]))).astype(np.int32)),
+                                             pa.array(tok))
+            yield pa.RecordBatch.from_arrays([pa.array(cls[can]), pa.array(n[can]),
+                                              pa.array((size - need + 1)[can].astype(np.int32)), lists],
+                                             ["cls", "n", "route", "toks"])
 
     sent = docs.select("text").mapInArrow(send, packed.schema("toks", "cls"))
     counted = (sent.repartition(ranges, "to").sortWithinPartitions("to")
                .mapInArrow(count, packed.schema("cls", "toks", "df")))
-    back = (counted.repartition(ranges, "to").sortWithinPartitions("to")
-            .mapInArrow(gathered, "cls long, toks array<long>"))
-    least = F.expr(f"CAST(({num} * n + {den - 1}) div {den} AS BIGINT)")
-    return (back.join(sizes, "cls").withColumn("needed", least).filter(F.size("toks") >= F.col("needed"))
-            .select("cls", "n", (F.size("toks") - F.col("needed") + 1).cast("int").alias("route"), "toks"))
+    return (counted.repartition(ranges, "to").sortWithinPartitions("to")
+            .mapInArrow(gathered, "cls long, n long, route int, toks array<long>"))
 
 
 def blocks(found: DataFrame) -> DataFrame:
@@ -319,13 +364,13 @@ def class_links(found: DataFrame, num: int, den: int, unit: int = UNIT) -> DataF
     """Links (a, b) that connect the classes of ``found`` as all links with the threshold would."""
     where = staged(blocks(found), "blocks")
     sizes = where.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / unit).cast("int").alias("units"))
-    rows = staged(found.join(where, "cls").join(sizes, "block"), "members")
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("cls"), "units"))
+    sizes = staged(sizes, "block-sizes")
+    dealt = (found.join(where.join(sizes, "block"), "cls").withColumn("part", F.pmod(F.xxhash64("cls"), "units")))
     one = dealt.withColumn("unit", F.xxhash64("block", "part")).withColumn("label", F.col("cls")).withColumn("side", F.lit(0))
     links = staged(solve(one, num, den), "unit-links")
-    large = dealt.filter("units > 1")
-    if large.isEmpty():
+    if sizes.filter("units > 1").isEmpty():
         return links
+    large = staged(dealt.filter("units > 1"), "large-blocks")
 
     def labelled(frame: DataFrame, so_far: DataFrame) -> DataFrame:
         root = components(so_far).selectExpr("node AS cls", "root")
@@ -353,8 +398,9 @@ def class_links(found: DataFrame, num: int, den: int, unit: int = UNIT) -> DataF
 def similarity_join(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN, unit: int = UNIT) -> DataFrame:
     """(doc_id, key, cls, n, root): every row with its class and its component's least class; no root for an empty set."""
     own = staged(classes(docs, k), "classes")
-    sizes = own.filter("n > 0").groupBy("cls").agg(F.max("n").alias("n"))
-    found = staged(shared(docs, sizes, k, num, den), "shared")
+    common, own = commonest(own), own.filter("n >= 0")
+    total = own.groupBy("cls").agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0] or 0
+    found = staged(shared(docs, total, common, k, num, den), "shared")
     roots = staged(components(class_links(found, num, den, unit)), "roots")
     return (own.join(roots, F.col("cls") == F.col("node"), "left")
             .select("doc_id", "key", "cls", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root")))
