@@ -2,28 +2,28 @@
 
 A tokenizer whose encoding is the concatenation of the encodings of its
 segments needs to encode each distinct segment once.  ``build`` takes the
-distinct segments with their ids as a DataFrame, splits them by hash range
-and writes one file per range; ``Lookup`` maps the files and encodes slices
-of texts with array operations only.  The dictionary grows with the corpus'
+distinct segments with their ids as a DataFrame and writes a set of files per
+partition; ``Lookup`` maps the files and encodes slices of texts with array
+operations only.  The dictionary grows with the corpus'
 vocabulary, so its size is checked against ``MAX_SEGMENTS`` before any task
 maps it; beyond the bound the caller encodes texts directly.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rivalry.llm import textarrays as ta
 from rivalry.llm.store import map_file, scratch, write_file
 
 #: Segments of a dictionary that tasks load: 24 bytes each plus 4 per id in shared pages, about 200 MB at this bound.
 MAX_SEGMENTS = 1 << 23
-PARTS = 16
 _loaded: dict[str, Lookup] = {}
 
 #: (code points, row offsets) -> (code points to hash, starts, ends) of the segments, in order, covering what is encoded.
@@ -49,15 +49,17 @@ def distinct_segments(docs: DataFrame, segmenter: Segmenter, max_len: int | None
 
 
 def build(pairs: DataFrame) -> tuple[str, int] | None:
-    """Write ``pairs`` (seg string, ids array<int>) as dictionary files; (folder, segments), or None beyond the bound."""
+    """Write ``pairs`` (seg string, ids array<int>) as dictionary files; (folder, segments), or None beyond the bound.
+
+    The segments stay in the partitions that they were made in, one set of files each.
+    """
     folder = scratch(pairs.sparkSession, "segments")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, hashes, lens, ids = None, [], [], []
+        k, hashes, lens, ids = TaskContext.get().partitionId(), [], [], []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k = batch.column(2)[0].as_py()
             segs = batch.column(0).to_pylist()
             n = np.array([len(x) for x in segs], np.int64)
             ends = np.cumsum(n)
@@ -65,36 +67,19 @@ def build(pairs: DataFrame) -> tuple[str, int] | None:
             lists = batch.column(1)
             lens.append(np.diff(lists.offsets.to_numpy()).astype(np.uint32))
             ids.append(lists.flatten().to_numpy().astype(np.uint32))
-        if k is None:
+        if not hashes:
             return
-        h, n, flat = np.concatenate(hashes), np.concatenate(lens), np.concatenate(ids)
-        order = np.argsort(h, kind="stable")
-        first = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))[:-1]
-        flat = flat[ta.flat_ranges(first[order], n[order].astype(np.int64))]
-        for name, a in (("hash", h[order]), ("len", n[order]), ("ids", flat)):
-            write_file(f"{folder}/{k:04d}.{name}", lambda out, a=a: out.write(memoryview(a).cast("B") if len(a) else b""))
-        yield pa.RecordBatch.from_arrays([pa.array([len(h)], pa.int64())], ["n"])
+        for name, arrays in (("hash", hashes), ("len", lens), ("ids", ids)):
+            write_file(f"{folder}/{k:05d}.{name}", lambda out, arrays=arrays: [out.write(a.tobytes()) for a in arrays])
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([sum(map(len, hashes))], pa.int64())],
+                                         ["part", "n"])
 
-    keyed = pairs.withColumn("k", F.pmod(F.xxhash64("seg"), F.lit(PARTS)).cast("int"))
-    split = keyed.repartition(PARTS, "k").sortWithinPartitions("k")
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, k = [], None
-        for batch in batches:
-            ks = batch.column(2).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(ks)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                if b > a:
-                    if k is not None and ks[a] != k:
-                        yield from part(iter(held))
-                        held = []
-                    k = ks[a]
-                    held.append(batch.slice(a, b - a))
-        yield from part(iter(held))
-
-    sizes = split.mapInArrow(parts, "n long").collect()  # PARTS rows at most
-    total = sum(r.n for r in sizes)
-    return (folder, total) if total <= MAX_SEGMENTS else None
+    made = pairs.select("seg", "ids").mapInArrow(part, "part long, n long").collect()  # a row per partition
+    total = sum(r.n for r in made)
+    if total > MAX_SEGMENTS:
+        return None
+    write_file(f"{folder}/manifest.json", lambda out: out.write(json.dumps(sorted(r.part for r in made)).encode()))
+    return folder, total
 
 
 class Lookup:
@@ -102,13 +87,9 @@ class Lookup:
 
     def __init__(self, folder: str):
         hs, lens, ids = [], [], []
-        from rivalry.llm.store import filesystem
-        fs, _ = filesystem(folder)
-        for k in range(PARTS):
-            if not fs.get_file_info(filesystem(f"{folder}/{k:04d}.hash")[1]).is_file:
-                continue
+        for k in json.loads(map_file(f"{folder}/manifest.json").to_pybytes()):
             for name, to, kind in (("hash", hs, np.uint64), ("len", lens, np.uint32), ("ids", ids, np.uint32)):
-                to.append(np.frombuffer(map_file(f"{folder}/{k:04d}.{name}"), kind))
+                to.append(np.frombuffer(map_file(f"{folder}/{k:05d}.{name}"), kind))
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
         n = np.concatenate(lens).astype(np.int64) if hs else np.zeros(0, np.int64)
         first = np.cumsum(n) - n
