@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _B, _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9,
