@@ -39,13 +39,14 @@ from rivalry.llm.store import filesystem, map_file, scratch, staged, write_file
 
 WINDOW = 20
 DEPTH = 2
-#: Counters per row of the sketch: at least, and at most (a task maps one bit each: 128 MB a row).
+#: Counters per row of the sketch: at least, and at most (one bit each in files that tasks map: 128 MB a row).
 MIN_WIDTH, MAX_WIDTH = 1 << 20, 1 << 30
 #: Counters of a part of a row, merged by one task (two booleans each).
 PART = 1 << 23
 #: Windows that a task gathers before it sends, and that a grouping task holds on average.
 GATHER, GROUP = 2_000_000, 2_000_000
 NO_ID = np.iinfo(np.int64).max
+_FAR, _SKIP = 0x7FFF, 0xFFFF
 _SALT = np.uint64(0xA0761D6478BD642F)
 _sketches: dict[str, Sketch] = {}
 
@@ -64,6 +65,25 @@ def _cells(h: np.ndarray, depth: int, width: int) -> np.ndarray:
     return ta.mix(h ^ (_SALT * np.uint64(depth + 1))) & np.uint64(width - 1)
 
 
+def _steps(cells: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(part, value) that tell sorted counters by their distances within a part: 15 bits of distance and one of
+    "more than once here"; ``_SKIP`` is a distance of ``_FAR`` without a counter."""
+    part, place = (cells // np.uint64(PART)).astype(np.int64), (cells % np.uint64(PART)).astype(np.int64)
+    step = place.copy()
+    step[1:] -= np.where(part[1:] == part[:-1], place[:-1], 0)
+    size = step // _FAR + 1
+    out = np.full(int(size.sum()), _SKIP, np.uint16)
+    out[np.cumsum(size) - 1] = step % _FAR << 1 | more
+    return np.repeat(part, size), out
+
+
+def _places(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The counters of a part and their "more than once", from the values of ``_steps``."""
+    skip = value == _SKIP
+    place = np.cumsum(np.where(skip, _FAR, value >> 1).astype(np.int64))
+    return place[~skip], (value[~skip] & 1).astype(bool)
+
+
 def build_sketch(docs: DataFrame, width: int, k: int) -> str:
     """Folder of the merged sketch: per row and part one bit per counter, set if it reached 2."""
     folder = scratch(docs.sparkSession, "sketch")
@@ -73,10 +93,8 @@ def build_sketch(docs: DataFrame, width: int, k: int) -> str:
         def sent(h: np.ndarray) -> Iterator[pa.RecordBatch]:
             for d in range(DEPTH):
                 cells, n = np.unique(_cells(h, d, width), return_counts=True)
-                part = (cells // np.uint64(PART)).astype(np.int64)
-                # 24 bits of place, one of "twice here already"
-                value = ((cells % np.uint64(PART)) << np.uint64(1) | (n > 1)).astype(np.uint32)
-                yield packed.pack(part + d * parts, [value], ["cells"])
+                to, value = _steps(cells, n > 1)
+                yield packed.pack(to + d * parts, [value], ["cells"])
 
         gather = packed.Collector(GATHER)
         for batch in batches:
@@ -91,9 +109,8 @@ def build_sketch(docs: DataFrame, width: int, k: int) -> str:
             once, twice = np.zeros(PART, bool), np.zeros(PART, bool)
             for batch in own:
                 for raw in batch.column(1).to_pylist():
-                    value = np.frombuffer(raw, np.uint32)
-                    cells = value >> 1
-                    twice[cells[once[cells] | (value & 1 == 1)]] = True
+                    cells, more = _places(np.frombuffer(raw, np.uint16))
+                    twice[cells[once[cells] | more]] = True
                     once[cells] = True
             bits = np.packbits(twice, bitorder="little")
             write_file(f"{folder}/{key:05d}.bits", lambda out, bits=bits: out.write(bits.tobytes()))
@@ -107,19 +124,14 @@ def build_sketch(docs: DataFrame, width: int, k: int) -> str:
 
 
 class Sketch:
-    """The bits of a merged sketch; a part that no window touched has no file."""
+    """The mapped bits of a merged sketch, by part; a part that no window touched has no file."""
 
     def __init__(self, folder: str, width: int):
         self.width, parts = width, max(1, width // PART)
-        self.rows = []
         fs, _ = filesystem(folder)
-        for d in range(DEPTH):
-            bits = np.zeros(max(width, PART) // 8, np.uint8)
-            for p in range(parts):
-                uri = f"{folder}/{p + d * parts:05d}.bits"
-                if fs.get_file_info(filesystem(uri)[1]).is_file:
-                    bits[p * PART // 8:(p + 1) * PART // 8] = np.frombuffer(map_file(uri), np.uint8)
-            self.rows.append(bits)
+        uris = [[f"{folder}/{p + d * parts:05d}.bits" for p in range(parts)] for d in range(DEPTH)]
+        self.rows = [[np.frombuffer(map_file(u), np.uint8) if fs.get_file_info(filesystem(u)[1]).is_file else None
+                      for u in row] for row in uris]
 
     @classmethod
     def of(cls, folder: str, width: int) -> Sketch:
@@ -131,9 +143,17 @@ class Sketch:
     def repeated(self, h: np.ndarray) -> np.ndarray:
         """Numbers of the windows that the sketch takes for repeated: all that are, and few more."""
         at = np.arange(len(h))
-        for d, bits in enumerate(self.rows):
+        for d, row in enumerate(self.rows):
             c = _cells(h[at], d, self.width)
-            at = at[(bits[(c >> np.uint64(3)).astype(np.int64)] >> (c & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            part = (c // np.uint64(PART)).astype(np.uint16)
+            order = np.argsort(part, kind="stable")
+            bounds = np.searchsorted(part[order], np.arange(len(row) + 1)).tolist()
+            hit = np.zeros(len(c), bool)
+            for bits, lo, hi in zip(row, bounds, bounds[1:]):
+                if bits is not None and hi > lo:
+                    place = (c[order[lo:hi]] % np.uint64(PART)).astype(np.int64)
+                    hit[order[lo:hi]] = bits[place >> 3] >> (place & 7).astype(np.uint8) & 1
+            at = at[hit]
         return at
 
 

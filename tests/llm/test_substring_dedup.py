@@ -45,6 +45,16 @@ def test_odd_texts(spark):
     assert run(spark, [], 20) == []
 
 
+def test_distances_tell_the_counters():
+    rng = np.random.default_rng(8)
+    cells = np.unique(np.concatenate([rng.integers(0, 3 * sd.PART, 900), [0, sd.PART - 1, sd.PART, 2 * sd.PART + 1]])).astype(np.uint64)
+    more = rng.random(len(cells)) < 0.5
+    to, value = sd._steps(cells, more)
+    got = [sd._places(value[to == p]) for p in range(3)]
+    assert np.array_equal(np.concatenate([c + p * sd.PART for p, (c, _) in enumerate(got)]), cells)
+    assert np.array_equal(np.concatenate([m for _, m in got]), more)
+
+
 def test_sketch_loses_no_repeated_window(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     width = 1 << 12  # far too small: all overestimated, none lost
