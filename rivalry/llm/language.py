@@ -37,7 +37,8 @@ from rivalry.llm import textarrays as ta
 
 UNKNOWN = "und"
 #: Bounds of the labelled sample.
-LANGUAGES, SAMPLE_ROWS, SAMPLE_WORDS, WORD_LETTERS = 100, 400, 4000, 40
+LANGUAGES, SAMPLE_ROWS, SAMPLE_WORDS, WORD_LETTERS = 24, 400, 4000, 40
+SPARE = 4
 #: Letters with a class of their own; the others share the classes above by code point.
 LETTERS, SHARED = 200, 50
 _models: dict[int, Model] = {}
@@ -51,9 +52,13 @@ def train(docs: DataFrame) -> dict[str, list[str]]:
     """Words per language from a bounded sample of the labelled rows (doc_id, text, lang) that aren't held out."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
                        & ~held_out(F.col("doc_id")))
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    # A language's sample is its rows of least hash; a bound on the hash, from its count, lets about SPARE samples
+    # through, so that what meets in the window doesn't grow with the input.
+    least = F.coalesce(*[F.when(F.col("lang") == r.lang, F.lit(int(-(1 << 63) + min(1.0, SPARE * SAMPLE_ROWS / r["count"])
+                                                                  * ((1 << 64) - 2048)))) for r in langs], F.lit(None).cast("long"))
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (rows.filter(F.col("lang").isin(langs)).select("lang", "doc_id", "text")
+    sample = (rows.filter(F.xxhash64("doc_id") <= least).select("lang", "doc_id", "text")
               .withColumn("n", F.row_number().over(w)).filter(F.col("n") <= SAMPLE_ROWS))
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     counts = words.filter(F.length("word") <= WORD_LETTERS).groupBy("lang", "word").count()
