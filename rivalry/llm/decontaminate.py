@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Edits per character of an item.
-EDIT_RATE = 0.06
+EDIT_RATE = 0.08
 #: Characters of items that a task holds at once (their automaton takes some 100 bytes a character).
 BLOCK_CHARS = 2_000_000
 _OTHER = re.compile(r"\W+")
