@@ -261,7 +261,8 @@ def search(index: tuple[str, DataFrame], queries: DataFrame, top: int = TOP, kee
     blocks = max(1, -(-q.count() // QUERY_BLOCK))
     packed = (q.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
               .groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "vec")).alias("queries")))
-    work = packed.join(shards.select("dim", "shard"), "dim").repartition("shard", "block")
+    work = packed.join(shards.select("dim", "shard"), "dim").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "block")  # few bytes, much work: not coalesced
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
