@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivalry.llm import decontaminate, jaccard_tree, language, secret_scan, sentencepiece_lattice
-from rivalry.llm.store import staged
+from rivalry.llm.store import located, staged
 
 #: Near duplicates: word shingles of five, Jaccard similarity of 0.8 or more.
 SHINGLE, NUM, DEN = 5, 80, 100
@@ -47,8 +47,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES = [("language", identify), ("near_duplicates", near_duplicates), ("decontaminate", without_benchmark),
-          ("secrets", without_secrets), ("tokens", tokens)]
+STAGES = [(name, located(stage)) for name, stage in (
+    ("language", identify), ("near_duplicates", near_duplicates), ("decontaminate", without_benchmark),
+    ("secrets", without_secrets), ("tokens", tokens))]
 
 #: SQL can't express the stages (learned language models, edit distances, a tokenizer); tests use brute force.
 ORACLE_SQL = None

@@ -8,9 +8,10 @@ from rivalry.llm.decontaminate import op10_decontaminate
 from rivalry.llm.html_text import op7_html_text
 from rivalry.llm.language import op6_language
 from rivalry.llm.sentencepiece_lattice import op1_sentencepiece
+from rivalry.llm.store import located
 from rivalry.llm.token_files import op2_token_files
 
-QUERIES = {
+QUERIES = {name: located(query) for name, query in {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_files": op2_token_files,
     "op3_warc": warc.op3_warc,
@@ -21,7 +22,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_decontaminate": op10_decontaminate,
-}
+}.items()}
 
 ORACLES = {
     "op3_warc": warc.ORACLE,

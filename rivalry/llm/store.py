@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
+from pathlib import Path
 from urllib.parse import urlparse
 
 from pyarrow import fs as pafs
@@ -12,6 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from rivalry.session import ensure_checkpoint_dir
 
 
+def located(query):
+    """``query(spark, ...)`` whose Python workers find this package where the driver found it.
+
+    A worker looks in its own path; a driver that put the repository on its path by other means than ``PYTHONPATH`` has
+    to say so.  On a cluster whose executors have no such folder the package is installed or shipped as usual.
+    """
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return query(spark, *args)
+
+    return run
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder (unique per call)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
