@@ -91,9 +91,9 @@ class Lookup:
             for name, to, kind in (("hash", hs, np.uint64), ("len", lens, np.uint32), ("ids", ids, np.uint32)):
                 to.append(np.frombuffer(map_file(f"{folder}/{k:05d}.{name}"), kind))
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-        n = np.concatenate(lens).astype(np.int64) if hs else np.zeros(0, np.int64)
-        first = np.cumsum(n) - n
-        order = np.argsort(h, kind="stable")
+        n = np.concatenate(lens) if hs else np.zeros(0, np.uint32)
+        first = np.cumsum(n, dtype=np.int64) - n
+        order = np.argsort(h, kind="stable").astype(np.uint32)
         self.hashes, self.lens, self.first = h[order], n[order], first[order]
         self.ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
 
@@ -111,6 +111,6 @@ class Lookup:
         if len(uniq) and (at[-1] >= len(self.hashes) or (self.hashes[at] != uniq).any()):
             raise KeyError("a segment is missing from its dictionary")
         at = at[back]
-        n = self.lens[at]
+        n = self.lens[at].astype(np.int64)
         ids = self.ids[ta.flat_ranges(self.first[at], n)]
         return ids, np.concatenate(([0], np.cumsum(n)))[bounds]
