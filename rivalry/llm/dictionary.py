@@ -30,10 +30,16 @@ _loaded: dict[str, Lookup] = {}
 Segmenter = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
+def forget() -> None:
+    """Drop the dictionary that this worker holds from an earlier query."""
+    _loaded.clear()
+
+
 def distinct_segments(docs: DataFrame, segmenter: Segmenter, max_len: int | None = None) -> DataFrame:
     """Distinct segments (column ``seg``) of ``docs.text``; each task sends a segment once."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen = np.zeros(0, np.uint64)
         for batch in batches:
             for _, _, cps, offs in ta.slices(batch.column(0)):
