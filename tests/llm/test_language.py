@@ -68,3 +68,21 @@ def test_training_sees_only_its_rows(spark):
     assert la.train(docs.limit(0)) == {}
     assert la.Model({}).predict(pa.array(["a", None])) == (["und", "und"], [0.0, 0.0])
     assert docs.select(la.held_out(F.lit(None).cast("long"))).first()[0] is False
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    names = [f"l{i:02d}" for i in range(30)]
+    own = {n: [a + b + a for a in chr(0x4e00 + 10 * i) + chr(0x4e01 + 10 * i) for b in "xyz"] for i, n in enumerate(names)}
+    rows = [(100 * i + j, " ".join(own[n]), n) for i, n in enumerate(names) for j in range(40 if i < 29 else 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    words = la.train(docs)
+    assert {n: sorted(w) for n, w in words.items()} == {n: sorted(w) for n, w in own.items()}
+    texts = spark.createDataFrame([*rows, (None, None, None), (None, "...", None)], docs.schema)
+    got = la.predict(texts, words).collect()
+    assert len(got) == len(rows) + 2 and all(r.lang_pred == (r.lang or la.UNKNOWN) for r in got)
+    # One table at a time gives what tables held together give.
+    model, text = la.Model(words), pa.array([*ODD_TEXTS, *(r[1] for r in rows[::40])])
+    monkeypatch.setattr(la.ta.slices, "__defaults__", (50,))
+    one = model.predict(text)
+    monkeypatch.setattr(la, "HELD", 30)
+    assert model.predict(text) == one
