@@ -42,13 +42,21 @@ class Rule:
     base: bool = False
 
 
+#: A private key: from its header to its END line, if no other line of five dashes comes first; else the header and what
+#: looks like a key's body after it, lone dashes before its lines included.  A header that no key follows matches alone.
+#: Loops over groups are bounded, as Java's regular expressions take stack for each round; RE2 and ``re`` agree with it.
+PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
+       r"[^-]*(?:-{1,4}[^-]+){0,200}-{5,}END [A-Z ]*PRIVATE KEY-----|"
+       r"(?:\\[rnt]|[^A-Za-z0-9/=]){0,16}(?:Proc-Type:|[A-Za-z0-9+/=]{16,})"
+       r"[A-Za-z0-9+/=\t\n\r\x20\\\"',:;>#*|]*(?:-[A-Za-z0-9+/=\t\n\r\x20\\\"',:;>#*|]+){0,200})?")
+
 RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
          2, 6, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
     # Runs of 24 or more: the same matches as runs of any length, filtered.
     Rule("hex", r"[0-9a-f]{24,}", 0, 24, True),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", PEM),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),

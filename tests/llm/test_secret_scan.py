@@ -58,3 +58,39 @@ def test_redact(spark, docs_of):
     assert KEY not in out[0].text and "[access]" in out[0].text and out[0].n_chars == len(out[0].text)
     assert out[1].text.startswith("[assign]") and "abc123" not in out[1].text
     assert out[2].text is None and out[3].text == "clean" and out[3].n_chars == 5
+
+
+def test_redact_leaves_nothing_of_a_private_key(spark, docs_of):
+    lines = [hashlib.sha512(bytes([i])).hexdigest().upper()[:64].replace("0", "+") for i in range(25)] + ["Qk9EWQ=="]
+    body, label = "\n".join(lines), "RSA PRIVATE KEY-----"
+    begin, end = f"-----BEGIN {label}", f"-----END {label}"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC," + "0A" * 16 + "\n\n"
+    keys = [
+        f"{begin}\n{body}\n{end}", f"{begin}\r\n{head}{body}\r\n{end}", f"{begin}{body}{end}",
+        f"{begin}\n{body}", f"{begin}\n{head}{body}", f"{begin}\n{body}\n-----END RSA PRIV",
+        begin + "\\n" + "\\n".join(lines) + "\\n" + end, begin + "\\r\\n" + "\\r\\n".join(lines),
+        f"-{begin}\n-" + "\n-".join(lines) + f"\n-{end}", f"> {begin}\n> " + "\n> ".join(lines),
+        f"-{begin}\n-" + "\n-".join(lines), f"{begin}\n" + "\n".join(lines * 400) + f"\n{end}", f"{begin}\n" + "\n".join(lines * 400),
+        f"{begin}\n{body}\n\n{begin}\n{body}\n{end}", f'"{begin}\\n" +\n"' + '\\n" +\n"'.join(lines) + '"',
+    ]
+    texts = [f"é🙂 before. {k}\n(after - all)" for k in keys]
+    out = {r.doc_id: r.text for r in ss.redact(docs_of(texts)).collect()}
+    for i, text in out.items():
+        assert not any(x in text for x in lines) and "BEGIN" not in text, text
+        assert text.startswith("é🙂 before. ") and text.endswith("(after - all)") and "[pem]" in text
+    assert {r.doc_id: [tuple(s) for s in r.secrets] for r in ss.scan(docs_of(texts)).collect()} == {
+        i: ss.brute_force(t) for i, t in enumerate(texts)}
+
+
+def test_a_private_key_header_alone_takes_no_prose(spark, docs_of):
+    rule = next(r for r in ss.RULES if r.kind == "pem")
+    begin = "-----BEGIN PRIVATE KEY-----"
+    assert ss.trigram_query(rule.pattern) == ss.trigram_query(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
+    texts = [f"The line {begin} marks the start, and " + "a - b " * 5000, f"{begin} -----BEGIN CERTIFICATE-----\nQUJD",
+             f"{begin}\n-----END CERTIFICATE----- -----END PRIVATE KEY-----"]
+    out = {r.doc_id: r.text for r in ss.redact(docs_of(texts)).collect()}
+    assert out == {i: t.replace(begin, "[pem]") for i, t in enumerate(texts)}
+    con = duckdb.connect()
+    for t in [*texts, f"{begin}\n{'QUJD' * 16}\nQUI=\n-----END PRIVATE KEY----- x", f"{begin}\n{'QUJD' * 16}\nQUI= (x"]:
+        found = con.execute("SELECT regexp_extract_all(?, ?)", [t, rule.pattern]).fetchone()[0]
+        assert [(len(x),) for x in found] == [(e - s,) for s, _, e, k in ss.brute_force(t) if k == "pem"]
