@@ -19,8 +19,9 @@ TOKENIZER = "piece_bpe_32k.model"
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: texts of no language (null, empty, without a letter) go."""
-    known = language.predict(docs, language.train(docs)).filter(F.col("lang_pred") != language.UNKNOWN)
+    """Language ID: texts of no language (null, empty, without a letter) go, and only they if there is none to learn."""
+    words = language.train(docs) or {"any": []}
+    known = language.predict(docs, words).filter(F.col("lang_pred") != language.UNKNOWN)
     return known.select(*docs.columns)
 
 

@@ -61,6 +61,13 @@ def test_stages_take_odd_rows_and_keep_columns(spark, small_dir):
     assert cp.tokens(spark, docs, small_dir).filter(F.size("ids") != F.col("n_tokens")).count() == 0
 
 
+def test_unlabelled_texts_with_letters_pass(spark, small_dir):
+    rows = [(i, t, None, "s", len(t or "")) for i, t in enumerate(ODD_TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(r.doc_id for r in cp.identify(spark, docs, small_dir).collect())
+    assert kept == [i for i, t in enumerate(ODD_TEXTS) if any(c.isalpha() for c in t or "")]
+
+
 def test_stages_and_registration():
     import __spark_entry__ as entry
     assert [n for n, _ in cp.STAGES] == ["language", "near_duplicates", "decontaminate", "secrets", "tokens"]
