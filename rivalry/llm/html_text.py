@@ -6,8 +6,9 @@ characters / tags per line is smoothed with a Gaussian kernel, and lines
 above the threshold (the standard deviation of the smoothed ratios) form the
 content cluster.  The *region* starts as the whole page and narrows to a
 child element as long as that child holds every cluster line and every
-headline; an ``article`` or ``main`` that holds the cluster is never
-narrowed.  All lines of the region are its text, short ones too: nothing is
+headline; an ``article`` or ``main`` that holds the whole cluster is never
+narrowed.  If none holds it, the region is what encloses every ``article``
+with cluster lines and a ``main`` with most of them.  All lines of the region are its text, short ones too: nothing is
 dropped inside.  Lines in elements whose tag, role, class or id names them as
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 or reader comments belong to no region.
@@ -197,11 +198,11 @@ def main_text(html: str | None) -> str:
 
 
 def _region(page: _Lines, chars: list[int], heads: list[int]) -> int:
-    named = [e for e, t in enumerate(page.tags) if t in ("article", "main") and 2 * chars[e] > chars[0] > 0]
+    named = [e for e, t in enumerate(page.tags) if t in ("article", "main") and chars[e] == chars[0] > 0]
     if named:
-        return max(named)  # the innermost that holds most of the cluster
-    several = [e for e, t in enumerate(page.tags) if t == "article" and chars[e]]
-    if several:  # a page of several articles: what holds them all
+        return max(named)  # the innermost that holds the whole cluster
+    several = [e for e, t in enumerate(page.tags) if t == "article" and chars[e] or t == "main" and 2 * chars[e] > chars[0] > 0]
+    if several:  # what holds them all
         region = several[0]
         while not all(_under(page, e, region) for e in several):
             region = page.parents[region]

@@ -59,3 +59,14 @@ def test_smoothing_and_cluster():
     assert ht.content_cluster([]) == []
     found = ht.content_cluster([1, 1, 1, 1, 1, 90, 80, 100, 90, 1, 1, 1, 1, 1])
     assert found[5:9] == [True] * 4 and not any(found[:3]) and not any(found[-3:])
+
+
+def test_articles_of_unequal_size_are_kept():
+    a, b = ("The first piece of the page tells a long story about rivers and their valleys. " * 6).strip(), (
+        "The second piece is shorter and speaks of mountains. " * 6).strip()
+    page = "<html><body><p>Top</p>{}<p>End</p></body></html>"
+    two = ht.main_text(page.format(f"<div><article><p>{a}</p></article><article><p>{b}</p></article></div>"))
+    assert two == f"{a} {b}"
+    inner = ht.main_text(page.format(f"<main><article><p>{a}</p></article><div><p>{b}</p></div></main>"))
+    assert inner == f"{a} {b}"
+    assert ht.main_text(page.format(f"<article><p>{a}</p><p>{b}</p></article>")) == f"{a} {b}"
