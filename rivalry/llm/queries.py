@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rivalry.llm import conversation_trie, jaccard_tree, secret_scan, substring_dedup, warc
+from rivalry.llm import conversation_trie, jaccard_tree, secret_scan, substring_dedup, topk_lists, warc
 from rivalry.llm.ann import op4_ann
 from rivalry.llm.decontaminate import op10_decontaminate
 from rivalry.llm.html_text import op7_html_text
@@ -22,6 +22,7 @@ QUERIES = {name: located(query) for name, query in {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_decontaminate": op10_decontaminate,
+    "op11_topk": topk_lists.op11_topk,
     "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }.items()}
 
@@ -30,5 +31,6 @@ ORACLES = {
     "op5_jaccard_join": jaccard_tree.ORACLE,
     "op8_substring_dedup": substring_dedup.ORACLE,
     "op9_secret_scan": secret_scan.oracle(),
+    "op11_topk": topk_lists.ORACLE,
     "op13_conversation_trie": conversation_trie.ORACLE,
 }
