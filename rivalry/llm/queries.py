@@ -9,6 +9,7 @@ from rivalry.llm.html_text import op7_html_text
 from rivalry.llm.language import op6_language
 from rivalry.llm.sentencepiece_lattice import op1_sentencepiece
 from rivalry.llm.store import located
+from rivalry.llm.token_alignment import op12_token_alignment
 from rivalry.llm.token_files import op2_token_files
 
 QUERIES = {name: located(query) for name, query in {
@@ -23,6 +24,7 @@ QUERIES = {name: located(query) for name, query in {
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_decontaminate": op10_decontaminate,
     "op11_topk": topk_lists.op11_topk,
+    "op12_token_alignment": op12_token_alignment,
     "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }.items()}
 
