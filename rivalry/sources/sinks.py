@@ -4,59 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-TABLE = "table:"
+from rivalry.sources.publish import TABLE, Step, _no_step, publish_path, publish_table
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[str] = ("dt",), fmt: str = "parquet",
-                         clear: Iterable[Mapping[str, str]] = ()) -> None:
-    """Replace the partitions present in ``df`` and empty those of ``clear``; leave the others intact.
+                         clear: Iterable[Mapping[str, str]] = (), step: Step = _no_step) -> None:
+    """Replace the partitions present in ``df`` and those of ``clear``; leave the others intact.
 
     ``target`` is a path, or ``table:name`` for a catalog table (created if it
-    is missing).  Partitions of the result are overwritten dynamically, for
-    this write only, so a run for one ``dt`` (or one ``dt``/``cid3``) never
-    wipes earlier runs.  ``clear`` gives partition values of the run, e.g.
-    ``[{"dt": "2001-08-01"}]``: whatever lies under them goes first, so a
-    rerun whose result lacks a partition, or is empty, leaves no stale rows
-    there (the static form).  Columns are written by name, partition columns
-    last.
+    is missing).  A run for one ``dt`` (or one ``dt``/``cid3``) never wipes
+    earlier runs.  ``clear`` gives partition values of the run, e.g.
+    ``[{"dt": "2001-08-01"}]``: whatever lies under them is replaced as a
+    whole, so a rerun whose result lacks a partition, or is empty, leaves no
+    stale rows there (the static form).  Columns are written by name,
+    partition columns last.  The new partitions are written and checked before
+    any old one goes (see ``publish``).
     """
     spark = df.sparkSession
-    cols = [c for c in df.columns if c not in partition_cols] + list(partition_cols)
+    df = df.select(*(c for c in df.columns if c not in partition_cols), *partition_cols)
     if not target.startswith(TABLE):
-        for values in clear:
-            _clear_path(spark, target, partition_cols, values)
-        (df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*partition_cols).format(fmt).save(target))
+        publish_path(df, target, partition_cols, fmt, clear, step)
         return
     name = target[len(TABLE):]
     if not spark.catalog.tableExists(name):
-        df.select(*cols).limit(0).write.partitionBy(*partition_cols).format(fmt).saveAsTable(name)
-    for values in clear:
-        _clear_table(spark, name, values)
-    (df.select(*spark.table(name).columns).write.option("partitionOverwriteMode", "dynamic")
-       .insertInto(name, overwrite=True))
-
-
-def _clear_path(spark: SparkSession, path: str, partition_cols: Sequence[str], values: Mapping[str, str]) -> None:
-    """Delete the folder of partition values; they name the first partition columns."""
-    first = list(partition_cols)[:len(values)]
-    if set(first) != set(values):
-        raise ValueError(f"the values {dict(values)} must be of the first partition columns {first}")
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    folder = jvm.org.apache.hadoop.fs.Path(path + "".join(f"/{escape(c)}={escape(str(values[c]))}" for c in first))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def _clear_table(spark: SparkSession, name: str, values: Mapping[str, str]) -> None:
-    def literal(v) -> str:
-        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    found = spark.sql(f"SHOW PARTITIONS {name} PARTITION ({', '.join(f'`{c}` = {literal(v)}' for c, v in values.items())})")
-    for (spec,) in found.collect():  # partitions of one run
-        parts = [x.split("=", 1) for x in spec.split("/")]
-        unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION "
-                  f"({', '.join(f'`{c}` = {literal(unescape(v))}' for c, v in parts)})")
+        df.limit(0).write.partitionBy(*partition_cols).format(fmt).saveAsTable(name)
+    publish_table(df, name, clear, step)
