@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rivalry.llm import memory
 from rivalry.llm.packed import by_key
 from rivalry.llm.store import map_file, scratch, staged, write_file
 from rivalry.llm.textarrays import flat_ranges
@@ -43,7 +44,7 @@ SHARD_SIZE = 8192
 #: Links per node above level 0 (twice as many on it), candidates on building, and nodes kept on searching.
 LINKS, BUILD, SEARCH = 16, 64, 128
 QUERY_BLOCK = 256
-_shards: dict[str, Shard] = {}
+_shards: dict[str, Shard] = memory.table("graphs")
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -221,6 +222,7 @@ def build(vectors: DataFrame, top: int = TOP, shard_size: int = SHARD_SIZE) -> t
         F.concat_ws("-", "dim", F.pmod(F.xxhash64("vec"), "of")).alias("shard"), "dim", "vec", "ids")
 
     def graphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("graphs")
         for shard, own in by_key(batches):
             yield graph(shard, own)
 
@@ -265,6 +267,7 @@ def search(index: tuple[str, DataFrame], queries: DataFrame, top: int = TOP, kee
         int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "block")  # few bytes, much work: not coalesced
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("graphs")
         for batch in batches:
             for row in zip(batch.column("shard").to_pylist(), batch.column("queries")):
                 shard, out = Shard.of(f"{folder}/{row[0]}"), ([], [], [])

@@ -27,6 +27,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from rivalry.llm import memory
+
 #: Edits per character of an item.
 EDIT_RATE = 0.08
 #: Characters of items that a task holds at once (their automaton takes some 100 bytes a character).
@@ -161,6 +163,7 @@ def _finder(spark: SparkSession, block, rate: float):
     cache: list[Matcher] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin()
         if not cache:
             cache.append(Matcher([t for _, t in items.value], rate))
         ids = [i for i, _ in items.value]
@@ -190,6 +193,7 @@ def _keeper(spark: SparkSession, block, rate: float, at: int):
     cache: list[Matcher] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin()
         if not cache:
             cache.append(Matcher(items.value, rate))
         for batch in batches:

@@ -27,6 +27,8 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from rivalry.llm import memory
+
 SIGMA = 1.0
 _KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-3, 4)]
 
@@ -229,6 +231,7 @@ def extract(pages: DataFrame, key: str = "page_id") -> DataFrame:
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin()
         for batch in batches:
             texts = [main_text(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],

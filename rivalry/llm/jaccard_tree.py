@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivalry.functions.joins import checked_broadcast
-from rivalry.llm import packed
+from rivalry.llm import memory, packed
 from rivalry.llm import textarrays as ta
 from rivalry.llm.components import components
 from rivalry.llm.store import staged
@@ -100,6 +100,7 @@ def classes(docs: DataFrame, k: int = K) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin()
         for batch in batches:
             for lo, hi, h, offs in shingles(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:1], batch.column(2).slice(lo, hi - lo),
@@ -346,6 +347,7 @@ def solve(members: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) within the units of ``members`` (unit long, cls, n, toks, label long, side int)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin()
         for _, own in packed.by_key(batches):
             parts = list(own)
             cls, n, label, side = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in (1, 2, 4, 5))

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivalry.functions.joins import checked_broadcast
+from rivalry.llm import memory
 from rivalry.llm import textarrays as ta
 from rivalry.llm.store import map_file, scratch, write_file
 
@@ -52,7 +53,7 @@ SPARE = 4
 HELD, SLICES = 4, 8
 #: Letters with a class of their own; the others share the classes above by code point.
 LETTERS, SHARED = 200, 50
-_held: dict[str, list[np.ndarray]] = {}
+_held: dict[str, list[np.ndarray]] = memory.table("languages")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -258,6 +259,7 @@ def predict(docs: DataFrame, words: dict[str, list[str]]) -> DataFrame:
     at = [f.name for f in keep].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("languages")
         for batch in batches:
             lang, score = shared.value.predict(batch.column(at))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],

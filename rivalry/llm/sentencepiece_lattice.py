@@ -15,11 +15,11 @@
 4. Characters without a piece become the bytes of their UTF-8.
 5. Documents are encoded where they are read: a task looks up each distinct
    word of some texts in a mapped dictionary of the segments' ids (see
-   ``dictionary``: its size is checked) and puts the words together.
+   ``dictionary``) and puts the words together.
 
 Words with a segment of more than ``MAX_SEGMENT`` characters (its borders
-don't fit the fold's bits), and all texts if the dictionary passes its bound,
-are encoded by the sentencepiece library from the same model.
+don't fit the fold's bits) are encoded by the sentencepiece library from the
+same model.
 
 Null texts are empty and have no ids; repeated rows and ids are encoded each;
 ``decode`` gives the text back, byte for byte, but that U+2581 becomes a
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivalry.llm import dictionary
+from rivalry.llm import dictionary, memory
 from rivalry.llm import textarrays as ta
 
 SPACE = "▁"
@@ -51,7 +51,7 @@ UNKNOWN_PENALTY = -10.0
 TEXTS, HELD = 256, 150_000
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 PIECES = "piece string, id int, score double"
-_models: dict[int, Model] = {}
+_models: dict[int, Model] = memory.table("pieces")
 
 
 class Model:
@@ -156,7 +156,7 @@ def distinct_segments(docs: DataFrame, proto) -> DataFrame:
     """(h, seg): distinct segments of ``docs.text``, of up to ``MAX_SEGMENT`` characters, and their hashes, dealt by hash."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionary.forget()
+        memory.begin("pieces")
         model, seen, sent = Model.of(proto.value), set(), np.zeros(0, np.uint64)
         for batch in batches:
             for lo in range(0, batch.num_rows, TEXTS):
@@ -179,7 +179,8 @@ def distinct_segments(docs: DataFrame, proto) -> DataFrame:
                     seen, sent = set(), np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array(out, pa.string())], ["h", "seg"])
 
-    return docs.select("text").mapInArrow(local, "h long, seg string").groupBy("h").agg(F.min("seg").alias("seg"))
+    return docs.select("text").mapInArrow(local, "h long, seg string").groupBy("h").agg(F.min("seg").alias("seg"), F.max("seg").alias("other")).select(
+        "h", F.when(F.col("seg") == F.col("other"), F.col("seg")).otherwise(F.raise_error(F.lit("two segments have one hash"))).alias("seg"))
 
 
 def _bits(at: Column) -> Column:
@@ -198,7 +199,7 @@ def _ids(chosen: Column, first_byte: int) -> Column:
 
 
 def fold_bpe(edges: DataFrame, first_byte: int) -> DataFrame:
-    """(seg, ids): merges in order of score, leftmost first, over the borders held as bits of a long."""
+    """(h, seg, ids): merges in order of score, leftmost first, over the borders held as bits of a long."""
     end = F.col("start") + F.col("n")
     merge = F.struct((-F.col("score")).alias("rank"), "start", (_bits(F.col("start")).bitwiseOR(_bits(end))).alias("ends"),
                      (_bits(end) - _bits(F.col("start") + 1)).alias("inner"))
@@ -222,11 +223,11 @@ def fold_bpe(edges: DataFrame, first_byte: int) -> DataFrame:
     chosen = F.filter("edges", lambda e: (borders.bitwiseAND(_bits(e["start"])) != 0)
                       & (borders.bitwiseAND(_bits(e["start"] + e["n"])) != 0)
                       & (borders.bitwiseAND(_bits(e["start"] + e["n"]) - _bits(e["start"] + 1)) == 0))
-    return out.select("seg", _ids(chosen, first_byte).alias("ids"))
+    return out.select("h", "seg", _ids(chosen, first_byte).alias("ids"))
 
 
 def fold_viterbi(edges: DataFrame, first_byte: int, unknown: float) -> DataFrame:
-    """(seg, ids) of the path of greatest score (ties: the longer last piece); ``unknown`` scores a lone character."""
+    """(h, seg, ids) of the path of greatest score (ties: the longer last piece); ``unknown`` scores a lone character."""
     edge = F.struct((F.col("start") + F.col("n")).alias("end"), "start", "n", "id",
                     F.coalesce("score", F.lit(unknown)).alias("score"))
     grouped = edges.groupBy("h").agg(F.min("seg").alias("seg"), F.sort_array(F.collect_list(edge)).alias("edges"))
@@ -246,7 +247,7 @@ def fold_viterbi(edges: DataFrame, first_byte: int, unknown: float) -> DataFrame
                 .otherwise(best))
 
     folded = F.aggregate("edges", start, step, lambda best: F.element_at(best, -1)["path"])
-    return grouped.select("seg", _ids(folded, first_byte).alias("ids"))
+    return grouped.select("h", "seg", _ids(folded, first_byte).alias("ids"))
 
 
 def _model_file(path: str) -> bytes:
@@ -254,17 +255,15 @@ def _model_file(path: str) -> bytes:
         return f.read()
 
 
-def learn(docs: DataFrame, proto) -> str | None:
-    """Folder of the dictionary of the segments of ``docs.text``; None if it would pass its bound.
+def learn(docs: DataFrame, proto) -> str:
+    """Folder of the dictionary of the segments of ``docs.text``.
 
     ``proto`` is a broadcast of the model's bytes.
     """
     model = Model.of(proto.value)
     segs = distinct_segments(docs, proto)
     pieces = docs.sparkSession.createDataFrame(model.rows, PIECES)
-    made = fold_bpe(lattice(segs, pieces, model.longest), model.first_byte)
-    built = dictionary.build(made)
-    return built and built[0]
+    return dictionary.build(fold_bpe(lattice(segs, pieces, model.longest), model.first_byte))
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
@@ -285,35 +284,35 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     return docs.select(*[f.name for f in keep]).mapInArrow(run, schema)
 
 
-def _encoded(batches, at: int, model: Model, folder: str | None) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _encoded(batches, at: int, model: Model, folder: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches with the ids of their texts (column ``at``) as little-endian 32-bit integers."""
-    held: dict[str, bytes] = {}
+    memory.begin("pieces", "dictionary")
+    known: dict[str, bytes] = {}
     for batch in batches:
         for lo in range(0, batch.num_rows, TEXTS):
             part = batch.slice(lo, TEXTS)
             texts = part.column(at).to_pylist()
-            if folder:
-                yield part, _looked_up(model, folder, texts, held)
-            else:
-                yield part, [np.array(x, "<u4").tobytes() for x in model.library.encode([x or "" for x in texts], num_threads=1)]
+            yield part, _looked_up(model, folder, texts, known)
+    known.clear()
+    memory.trim()
 
 
-def _looked_up(model: Model, folder: str, texts: list[str | None], held: dict[str, bytes]) -> list[bytes]:
-    """ids of texts as bytes; ``held`` keeps the ids of words between calls."""
+def _looked_up(model: Model, folder: str, texts: list[str | None], known: dict[str, bytes]) -> list[bytes]:
+    """ids of texts as bytes; ``known`` keeps the ids of words between calls."""
     split = [words(x) for x in texts]
     new = set().union(*split)
-    if len(held) + len(new) > HELD:
-        held.clear()
-    new = [w for w in new if w not in held]
+    if len(known) + len(new) > HELD:
+        known.clear()
+    new = [w for w in new if w not in known]
     long = [w for w in new if len(w) >= MAX_SEGMENT and np.diff(model.segments([w])[1], append=len(w) + 1).max() > MAX_SEGMENT]
-    held.update((w, np.array(model.library.encode(w.replace(SPACE, " ")), "<u4").tobytes()) for w in long)
-    new = [w for w in new if w not in held] if long else new
+    known.update((w, np.array(model.library.encode(w.replace(SPACE, " ")), "<u4").tobytes()) for w in long)
+    new = [w for w in new if w not in known] if long else new
     if new:
         keys, starts, ends, bounds = model.segments(new)
-        ids, at = dictionary.Lookup.of(folder).encode(ta.segment_hashes(keys, starts, ends), bounds)
+        ids, at = dictionary.Lookup.open(folder).encode(ta.segment_hashes(keys, starts, ends), bounds)
         raw, at = ids.astype("<u4").tobytes(), (at * 4).tolist()
-        held.update(zip(new, (raw[a:b] for a, b in zip(at, at[1:]))))
-    return [b"".join(map(held.__getitem__, x)) for x in split]
+        known.update(zip(new, (raw[a:b] for a, b in zip(at, at[1:]))))
+    return [b"".join(map(known.__getitem__, x)) for x in split]
 
 
 def decode(frame: DataFrame, model_path: str) -> DataFrame:

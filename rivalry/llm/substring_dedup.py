@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import packed
+from rivalry.llm import memory, packed
 from rivalry.llm import textarrays as ta
 from rivalry.llm.store import filesystem, map_file, scratch, staged, write_file
 
@@ -48,7 +48,7 @@ GATHER, GROUP = 2_000_000, 2_000_000
 NO_ID = np.iinfo(np.int64).max
 _FAR, _SKIP = 0x7FFF, 0xFFFF
 _SALT = np.uint64(0xA0761D6478BD642F)
-_sketches: dict[str, Sketch] = {}
+_sketches: dict[str, Sketch] = memory.table("sketches")
 
 
 def document_windows(cps: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,6 +90,7 @@ def build_sketch(docs: DataFrame, width: int, k: int) -> str:
     parts = max(1, width // PART)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("sketches")
         def sent(h: np.ndarray) -> Iterator[pa.RecordBatch]:
             for d in range(DEPTH):
                 cells, n = np.unique(_cells(h, d, width), return_counts=True)
@@ -181,6 +182,7 @@ def marks(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), windows // GROUP)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("sketches")
         sketch = Sketch.of(folder, width)
 
         def sent(h, doc, key, pos) -> Iterator[pa.RecordBatch]:

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import packed
+from rivalry.llm import memory, packed
 from rivalry.llm.sentencepiece_lattice import Model
 from rivalry.llm.store import staged
 from rivalry.llm.textarrays import flat_ranges
@@ -52,7 +52,7 @@ LONG, RANGE, FAN = 1 << 16, 1 << 15, 8
 #: Characters encoded at a time, and of a unit; words a task holds before it starts anew; links expanded one by one.
 SLICE, UNIT, HELD, PLAIN = 1 << 19, 1 << 22, 150_000, 1 << 12
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_aligners: dict[int, Aligner] = {}
+_aligners: dict[int, Aligner] = memory.table("aligners")
 
 
 def byte_level() -> dict[str, int]:
@@ -260,6 +260,7 @@ def short(docs: DataFrame, models, receivers: int) -> DataFrame:
     """``_ROWS`` of texts that are one fragment each, made where they are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("aligners", "pieces")
         aligner, units = Aligner.of(*models.value), Units(receivers)
         for batch in batches:
             lo = 0

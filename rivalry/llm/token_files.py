@@ -8,10 +8,12 @@ partition's documents, tokens and *base*, the tokens of all partitions before
 it (a prefix sum over one row per partition); a document's global start is
 its partition's base plus its offset.
 
-The tokenizer encodes each distinct segment of the corpus once (see
-``dictionary``): its pre-tokenizer never joins text across white space, nor a
-word of plain letters with the ASCII punctuation that ends it, so a text's
-encoding is the concatenation of its segments'.
+The documents are sorted over ranges of ``doc_id`` and encoded where they are
+written.  A tokenizer of the kind named by ``NORMALIZER`` and
+``PRE_TOKENIZER`` never joins text across white space, nor a word of plain
+letters with the ASCII punctuation that ends it, so a text's encoding is the
+concatenation of its segments', and a task encodes each distinct segment once.
+Any other tokenizer encodes whole texts.
 
 Null texts are empty and still get their end id; null ids come first; rows
 that share a ``doc_id`` stand in text order; no rows give empty files.
@@ -30,12 +32,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import dictionary
+from rivalry.llm import memory
 from rivalry.llm import textarrays as ta
 from rivalry.llm.store import filesystem, map_file, scratch, write_file
 
 END_ID = 1
-_tokenizers: dict[int, object] = {}
+#: Code points encoded at a time, and segments that a task holds before it starts anew.
+SLICE, HELD = 1 << 18, 400_000
+# The normaliser and pre-tokeniser for which a text's encoding is that of its ``segments``.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_tokenizers: dict[int, object] = memory.table("tokenizers")
 
 
 def _letters(cps: np.ndarray) -> np.ndarray:
@@ -78,20 +89,76 @@ def _tokenizer(source: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = hash(source)
     if key not in _tokenizers:
+        _tokenizers.clear()
         _tokenizers[key] = Tokenizer.from_str(source)
     return _tokenizers[key]
 
 
-def encode_segments(segs: DataFrame, source) -> DataFrame:
-    """(seg, ids) by the tokenizers library; ``source`` is a broadcast of the tokenizer's JSON."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(source.value)
-        for batch in batches:
-            ids = [x.ids for x in tok.encode_batch(batch.column(0).to_pylist(), add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["seg", "ids"])
-
-    return segs.mapInArrow(run, "seg string, ids array<int>")
+def by_segments(source: str) -> bool:
+    """Whether a tokenizer (its JSON) does to texts what ``segments`` takes for granted."""
+    spec = json.loads(source)
+    return spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == PRE_TOKENIZER
+
+
+class Encoder:
+    """Encodes slices of texts; each distinct segment of a task once."""
+
+    def __init__(self, source: str):
+        self.tokenizer, self.salt = _tokenizer(source), np.uint32(0x5BD1E995)
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.place = np.zeros(0, np.int64)
+        self.ids, self.offs = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def whole(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of texts, and their offsets, text by text."""
+        got = [x.ids for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        return np.array([i for x in got for i in x], np.uint32), np.concatenate(([0], np.cumsum(list(map(len, got))))).astype(np.int64)
+
+    def slice(self, cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of a slice of texts by segments, and their offsets by text.
+
+        A segment is known by 128 bits of hash: the table is sorted by the first half, and where segments that differ
+        share it, the second half shows it and the slice is encoded by whole texts, or the table starts anew.
+        """
+        keys, s, e = segments(cps, offs)
+        h, g = ta.segment_hashes(keys, s, e), ta.segment_hashes(keys ^ self.salt, s, e)
+        uniq, first, back = np.unique(h, return_index=True, return_inverse=True)
+        check = g[first]
+        if (check[back] != g).any():
+            return self.whole([ta.text_of(cps[a:b]) for a, b in zip(offs, offs[1:])])
+        if len(self.hashes) > HELD:
+            self.forget()
+        known, at = self._known(uniq)
+        if (self.checks[at[known]] != check[known]).any():
+            self.forget()
+            known, at = self._known(uniq)
+        if not known.all():
+            self._learn(uniq[~known], check[~known], ta.text_of(keys), s[first[~known]], e[first[~known]])
+            at = np.searchsorted(self.hashes, uniq)
+        own = self.place[at][back]
+        n = self.offs[own + 1] - self.offs[own]
+        ids = self.ids[ta.flat_ranges(self.offs[own], n)]
+        return ids, np.concatenate(([0], np.cumsum(n)))[np.searchsorted(s, offs)]
+
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes the table has, and where."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return self.hashes[at] == hashes, at
+
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, text: str, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Encode new segments of ``text`` and merge them into the sorted table."""
+        ids, offs = self.whole([text[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+        place = len(self.offs) - 1 + np.arange(len(hashes))
+        self.offs = np.concatenate((self.offs, self.offs[-1] + offs[1:]))
+        self.ids = np.concatenate((self.ids, ids))
+        to = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.checks, self.place = (np.insert(a, to, b) for a, b in (
+            (self.hashes, hashes), (self.checks, checks), (self.place, place)))
 
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, folder: str | None = None) -> str:
@@ -99,31 +166,24 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, folder: st
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:  # the tokenizer's own file, on the driver
         json_text = f.read()
-    source = spark.sparkContext.broadcast(json_text)
+    source, apart = spark.sparkContext.broadcast(json_text), by_segments(json_text)
     width = "<u2" if max(_tokenizer(json_text).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     folder = folder or scratch(spark, "tokens")
     docs = docs.select("doc_id", "text")
-    built = dictionary.build(encode_segments(dictionary.distinct_segments(docs, segments), source))
-    segs_at = built and built[0]
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = TaskContext.get().partitionId()
         doc_ids, sizes = [], []
 
+        memory.begin("tokenizers")
+        encoder = Encoder(source.value)
+
         def ids_out(out) -> None:
             for batch in batches:
                 doc_ids.append(batch.column(0))
-                for lo, hi, cps, offs in ta.slices(batch.column(1)):
-                    if segs_at:
-                        keys, s, e = segments(cps, offs)
-                        ids, at = dictionary.Lookup.of(segs_at).encode(ta.segment_hashes(keys, s, e),
-                                                                       np.searchsorted(s, offs))
-                    else:  # the vocabulary of segments passes the bound
-                        got = [x.ids for x in _tokenizer(source.value).encode_batch(
-                            [x or "" for x in batch.column(1).slice(lo, hi - lo).to_pylist()],
-                            add_special_tokens=False)]
-                        at = np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int64)
-                        ids = np.array([i for x in got for i in x], np.uint32)
+                for lo, hi, cps, offs in ta.slices(batch.column(1), SLICE):
+                    ids, at = encoder.slice(cps, offs) if apart else encoder.whole(
+                        batch.column(1).slice(lo, hi - lo).to_pylist())
                     out.write(np.insert(ids, at[1:], end_id).astype(width).tobytes())
                     sizes.append(np.diff(at) + 1)
 

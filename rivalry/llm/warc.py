@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivalry.functions.joins import checked_broadcast
+from rivalry.llm import memory
 from rivalry.llm.store import filesystem, scratch, write_file
 
 MIN_PAYLOAD = 100
@@ -91,6 +92,7 @@ def write(pages: DataFrame, folder: str | None = None) -> list[str]:
         return f"<urn:uuid:{uuid.UUID(hashlib.md5(f'{seed}/{rid}/{kind}'.encode()).hexdigest())}>"
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin()
         name, n = f"{folder}/pages-{TaskContext.get().partitionId():05d}.warc.gz", 0
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
@@ -156,6 +158,7 @@ def records(spark: SparkSession, files: list[str]) -> DataFrame:
     """
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin()
         names = [x.split()[0] for x in RECORD.split(", ")]
         kinds = [pa.string()] * 6 + [pa.binary(), pa.int64(), pa.string(), pa.string()]
 

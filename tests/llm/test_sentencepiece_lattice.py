@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -54,11 +55,21 @@ def test_segments_about_the_fold_s_bound(spark):
         assert r.ids == model.library.encode(r.text) and r.decoded == r.text
 
 
-def test_library_way_beyond_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(sl.dictionary, "MAX_SEGMENTS", 2)
-    lib = sentencepiece.SentencePieceProcessor(model_file=PATH)
-    docs = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id long, text string")
-    assert all(r.ids == lib.encode(r.text or "") for r in sl.encode(docs, PATH).collect())
+def test_dictionary_over_many_ranges(spark):
+    """Found by range and binary search; absent segments and two segments of one hash are told."""
+    rng = np.random.default_rng(3)
+    hashes = np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    ids = {int(h): rng.integers(0, 9, rng.integers(0, 4)).tolist() for h in hashes}
+    frame = spark.createDataFrame([(int(np.uint64(h).view(np.int64)), x) for h, x in ids.items()], "h long, ids array<int>")
+    lookup = sl.dictionary.Lookup(sl.dictionary.build(frame.repartition(7)))
+    asked = rng.choice(hashes, 9000)
+    got, at = lookup.encode(asked, np.arange(9001))
+    assert [got[a:b].tolist() for a, b in zip(at, at[1:])] == [ids[int(h)] for h in asked]
+    assert len(lookup.parts) > 1 and lookup.encode(asked[:0], np.zeros(1, int))[0].tolist() == []
+    with pytest.raises(KeyError):
+        lookup.encode(np.array([int(hashes[0]) ^ 1], np.uint64), np.arange(2))
+    with pytest.raises(Exception, match="one hash"):
+        sl.dictionary.build(frame.unionByName(frame.limit(1)))
 
 
 def test_viterbi_fold_equals_all_paths(spark):
