@@ -141,16 +141,25 @@ def competition_measures(flow: DataFrame, *, keys: Sequence[str] = ("cid3",),
 def erosion_pairs(flow: DataFrame, names: DataFrame, *, run_date) -> DataFrame:
     """Brand-to-brand net erosion.
 
-    Each flow A→B (A≠B) is matched with its reverse B→A on the two-column
-    key (no string concatenation, so codes like 1|23 and 12|3 cannot
-    collide); pairs present in one direction only are dropped.  Both brands
-    get their names by inner joins, so a brand with k names yields k rows.
+    A flow A→B (A≠B) and its reverse B→A are one group under the pair's
+    canonical key (the lesser code, the greater code), a two-column key, so
+    that codes like 1|23 and 12|3 cannot collide; conditional sums give both
+    directions from one shuffle of the flow, and the pair is emitted both
+    ways.  Pairs present in one direction only are dropped.  Both brands get
+    their names by inner joins, so a brand with k names yields k rows.
     """
-    fwd = flow.filter(F.col("src_brand_code") != F.col("dst_brand_code"))
-    rev = flow.select("cid3", F.col("src_brand_code").alias("dst_brand_code"),
-                      F.col("dst_brand_code").alias("src_brand_code"),
-                      F.col("spend_switch").alias("back"))
-    pairs = fwd.join(rev, ["cid3", "src_brand_code", "dst_brand_code"])
+    src, dst, spend = F.col("src_brand_code"), F.col("dst_brand_code"), F.col("spend_switch")
+    both = (flow.filter(src != dst)
+                .groupBy("cid3", F.least(src, dst).alias("lo"), F.greatest(src, dst).alias("hi"))
+                .agg(F.sum(F.when(src < dst, spend)).cast(FLOW_TYPE).alias("up"),
+                     F.sum(F.when(src > dst, spend)).cast(FLOW_TYPE).alias("down"))
+                .filter(F.col("up").isNotNull() & F.col("down").isNotNull()))
+
+    def way(a, b, there, back):
+        return F.struct(F.col(a).alias("src_brand_code"), F.col(b).alias("dst_brand_code"),
+                        F.col(there).alias("spend_switch"), F.col(back).alias("back"))
+
+    pairs = both.select("cid3", F.inline(F.array(way("lo", "hi", "up", "down"), way("hi", "lo", "down", "up"))))
     src_names = names.select("cid3", F.col("brand_code").alias("src_brand_code"),
                              F.col("brand_name").alias("src_brand_name"))
     dst_names = names.select("cid3", F.col("brand_code").alias("dst_brand_code"),

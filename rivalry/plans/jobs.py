@@ -8,14 +8,14 @@ overwrites only its own partitions.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 from rivalry.functions.dates import dt_value
 from rivalry.operators import similarity as similarity_ops
 from rivalry.operators.flow import erosion_pairs
-from rivalry.plans import profiles, similarity
+from rivalry.plans import profiles, shared, similarity
 from rivalry.sources.sinks import overwrite_partitions
 
 
@@ -89,6 +89,24 @@ JOBS: dict[str, Callable] = {
 }
 
 
+#: Outputs of one spend flow: (frame of the staged flow, its partition columns).
+OF_FLOW: dict[str, Callable] = {
+    "brand_profile": lambda f, run_date: (profiles.profile_of_flow(f["flow"], f["names"], f["cats"], run_date=run_date),
+                                          ("dt", "cid3")),
+    "erosion_list": lambda f, run_date: (erosion_pairs(f["flow"], f["names"], run_date=run_date), ("dt",)),
+}
+
+
+def run_shared(outs: Mapping[str, str], inputs: Mapping[str, DataFrame], run_date: _dt.date,
+               categories: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+    """Compute one spend flow and write each output of ``outs`` ({job: target}, jobs of ``OF_FLOW``) from it."""
+    if unknown := set(outs) - set(OF_FLOW):
+        raise ValueError(f"{sorted(unknown)} are not outputs of a spend flow: {sorted(OF_FLOW)}")
+    staged = shared.staged_brand_flow(inputs["sku_dim"], inputs["sku_switch"], inputs["order_det"], categories=categories)
+    for name, out in outs.items():
+        _write(*OF_FLOW[name](staged, run_date), out, run_date, categories, fmt)
+
+
 def run_job(name: str, inputs: dict[str, DataFrame], out: str, run_date: _dt.date,
             categories: Sequence[str] | None = None, fmt: str = "parquet", **options) -> None:
     """Compute job ``name`` and overwrite its partitions in ``out``, a path or ``table:name``.
@@ -99,10 +117,15 @@ def run_job(name: str, inputs: dict[str, DataFrame], out: str, run_date: _dt.dat
     ``market_profile``).
     """
     df, partition_cols = JOBS[name](inputs, run_date, categories, **options)
+    _write(df, partition_cols, out, run_date, categories, fmt)
+
+
+def _write(df: DataFrame, partition_cols: Sequence[str], out: str, run_date: _dt.date,
+           categories: Sequence[str] | None, fmt: str) -> None:
     day = {"dt": run_date.isoformat()}
     by_category = "cid3" in partition_cols and categories is not None
     clear = [{**day, "cid3": c} for c in categories] if by_category else [day]
     overwrite_partitions(_with_dt(df, run_date), out, partition_cols, fmt, clear)
 
 
-__all__ = ["JOBS", "run_job"]
+__all__ = ["JOBS", "OF_FLOW", "run_job", "run_shared"]

@@ -53,9 +53,13 @@ def brand_profile(sku_dim: DataFrame, switch: DataFrame, order_det: DataFrame, *
     """
     flow, names, dim = brand_flow_inputs(sku_dim, switch, order_det, categories=categories,
                                          gmv_days=gmv_days)
+    return profile_of_flow(flow, names, category_list(dim, categories=categories), run_date=run_date)
+
+
+def profile_of_flow(flow: DataFrame, names: DataFrame, cats: DataFrame, *, run_date) -> DataFrame:
+    """The brand profile (D12) of a spend flow, brand names and category names."""
     m = competition_measures(flow).join(names, ["cid3", "brand_code"], "left")
     scaled = scale_0_100(m, ["switch_in_prob", "switch_out_prob", "loyalty"])
-    cats = category_list(dim, categories=categories)
     return (scaled.join(cats, "cid3", "left")
                   .select("cid3_name", F.lit(BRAND_DOMAIN).alias("domain"), "brand_code", "brand_name",
                           "switch_in_prob_p", "switch_out_prob_p", "loyalty_p", "erode_amount",

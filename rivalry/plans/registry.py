@@ -29,6 +29,8 @@ from rivalry.sources.sinks import overwrite_partitions
 
 # The category list of the queries that take one.
 CATEGORIES = ("ECONOMY", "SMALL", "STANDARD")
+# Ranges of the distributed rank: more than categories, so that some category spans several.
+RANGES = 24
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,15 +138,22 @@ def q_similar_brands_of_categories(spark, d):
                                      sales_end=fx.SIMILARITY_RUN_DATE, categories=CATEGORIES)
 
 
-def _overwritten(spark, d, clear):
+def _overwritten(spark, d, clear, table=False):
     """Brands per category written for two days, the second day rerun for some categories, read back."""
     labels = q_brand_labels(spark, d)
     n = labels.groupBy("cid3").agg(F.count_distinct("brand_code").alias("n"))
     days = [dt_value(x) for x in (fx.SIMILARITY_RUN_DATE, fx.ORDER_RUN_DATE)]
-    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-overwrite/{uuid.uuid4().hex}"
+    number = uuid.uuid4().hex
+    folder = target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-overwrite/{number}"
+    if table:
+        target = f"table:rivalry_overwrite_{number}"
+        spark.sql(f"CREATE TABLE rivalry_overwrite_{number} (n BIGINT, dt STRING, cid3 STRING) USING parquet "
+                  f"PARTITIONED BY (dt, cid3) LOCATION '{folder}'")
     overwrite_partitions(n.withColumn("dt", F.explode(F.array(*days))), target, ("dt", "cid3"))
     rerun = n.filter(F.length("cid3") % 2 == 0).withColumn("n", F.col("n") * 10).withColumn("dt", days[1])
     overwrite_partitions(rerun, target, ("dt", "cid3"), clear=clear)
+    if table:
+        return spark.table(f"rivalry_overwrite_{number}")
     return spark.read.schema("n bigint, dt string, cid3 string").parquet(target)
 
 
@@ -156,6 +165,10 @@ def q_partition_overwrite_static(spark, d):
     return _overwritten(spark, d, [{"dt": fx.ORDER_RUN_DATE.isoformat()}])
 
 
+def q_partition_overwrite_table(spark, d):
+    return _overwritten(spark, d, [{"dt": fx.ORDER_RUN_DATE.isoformat()}], table=True)
+
+
 def q_symmetric_matches(spark, d):
     return symmetric_matches(latest_snapshot(fx.sku_match(spark, d), "dt"))
 
@@ -174,6 +187,11 @@ def q_volume_rank(spark, d):
     return r.select("cid3", "brand_code", money_out("brand_gmv").alias("brand_gmv"), "gmv_rank")
 
 
+def q_volume_rank_by_ranges(spark, d):
+    r = volume_rank(fx.sku_sales(spark, d), end=fx.SIMILARITY_RUN_DATE, ranges=RANGES)
+    return r.select("cid3", "brand_code", money_out("brand_gmv").alias("brand_gmv"), "gmv_rank")
+
+
 def q_volume_neighbours(spark, d):
     return similarity.neighbours(fx.sku_sales(spark, d), end=fx.SIMILARITY_RUN_DATE)
 
@@ -232,10 +250,12 @@ QUERIES: dict[str, Query] = {
     "similar_brands_of_categories": q_similar_brands_of_categories,
     "partition_overwrite_dynamic": q_partition_overwrite_dynamic,
     "partition_overwrite_static": q_partition_overwrite_static,
+    "partition_overwrite_table": q_partition_overwrite_table,
     "symmetric_matches": q_symmetric_matches,
     "overlap_by_category": q_overlap_by_category,
     "overlap_pooled": q_overlap_pooled,
     "volume_rank": q_volume_rank,
+    "volume_rank_by_ranges": q_volume_rank_by_ranges,
     "volume_neighbours": q_volume_neighbours,
     "strong_coview": q_strong_coview,
     "strong_overlap": q_strong_overlap,

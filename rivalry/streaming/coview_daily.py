@@ -46,10 +46,14 @@ def daily_pairs(clicks: DataFrame, *, channels: Sequence[str] = CHANNELS,
 
 
 def refresh_days(log: DataFrame, days: DataFrame, out_path: str, **kw) -> None:
-    """Recompute the daily pair counts of ``days`` (frame with ``dt``) from the whole log."""
-    touched = checked_broadcast(days.select("dt").distinct())
-    full_days = log.join(touched, "dt", "left_semi")
-    overwrite_partitions(daily_pairs(full_days, **kw), out_path, ("dt",))
+    """Recompute the daily pair counts of ``days`` (frame with ``dt``) from the whole log.
+
+    A day whose pairs are gone (all of its clicks were withdrawn, or are of
+    other channels now) is emptied, too.
+    """
+    touched = sorted(r.dt for r in days.select("dt").distinct().collect() if r.dt is not None)  # days of one micro-batch
+    full_days = log.filter(F.col("dt").isin(touched))  # constants prune the log's partitions
+    overwrite_partitions(daily_pairs(full_days, **kw), out_path, ("dt",), clear=[{"dt": d.isoformat()} for d in touched])
 
 
 def start_daily_pairs(spark: SparkSession, log_path: str, schema: StructType, out_path: str,
