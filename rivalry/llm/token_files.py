@@ -37,8 +37,8 @@ from rivalry.llm import textarrays as ta
 from rivalry.llm.store import filesystem, map_file, scratch, write_file
 
 END_ID = 1
-#: Code points encoded at a time, and segments that a task holds before it starts anew.
-SLICE, HELD = 1 << 18, 400_000
+#: Code points encoded at a time, segments that a task holds before it starts anew, and words encoded in one text.
+SLICE, HELD, JOINED = 1 << 18, 400_000, 1000
 # The normaliser and pre-tokeniser for which a text's encoding is that of its ``segments``.
 NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -105,6 +105,10 @@ class Encoder:
 
     def __init__(self, source: str):
         self.tokenizer, self.salt = _tokenizer(source), np.uint32(0x5BD1E995)
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        if mark := json.loads(source)["model"].get("end_of_word_suffix"):
+            self.last[[i for t, i in vocab.items() if t.endswith(mark)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -136,13 +140,23 @@ class Encoder:
             self.forget()
             known, at = self._known(uniq)
         if not known.all():
-            self._learn(uniq[~known], check[~known], ta.text_of(keys), s[first[~known]], e[first[~known]])
+            self._learn(uniq[~known], check[~known], keys, s[first[~known]], e[first[~known]])
             at = np.searchsorted(self.hashes, uniq)
         own = self.place[at][back]
         n = self.offs[own + 1] - self.offs[own]
         ids = self.ids[ta.flat_ranges(self.offs[own], n)]
         return ids, np.concatenate(([0], np.cumsum(n)))[np.searchsorted(s, offs)]
 
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of words of plain letters, and their offsets: encoded many in one text, told apart by the mark that the
+        vocabulary puts on a word's last token."""
+        texts = [" ".join(words[lo:lo + JOINED]) for lo in range(0, len(words), JOINED)]
+        ids = np.array([i for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in x.ids], np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words) or (len(ids) and ends[-1] != len(ids)):
+            return self.whole(words)
+        return ids, np.concatenate(([0], ends))
+
     def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which hashes the table has, and where."""
         if not len(self.hashes):
@@ -150,12 +164,18 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return self.hashes[at] == hashes, at
 
-    def _learn(self, hashes: np.ndarray, checks: np.ndarray, text: str, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Encode new segments of ``text`` and merge them into the sorted table."""
-        ids, offs = self.whole([text[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
-        place = len(self.offs) - 1 + np.arange(len(hashes))
-        self.offs = np.concatenate((self.offs, self.offs[-1] + offs[1:]))
-        self.ids = np.concatenate((self.ids, ids))
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Encode new segments of ``keys`` and merge them into the sorted table."""
+        text, letters = ta.text_of(keys), np.concatenate(([0], np.cumsum(_letters(keys))))
+        plain = letters[ends] - letters[starts] == ends - starts
+        order = np.argsort(~plain, kind="stable")  # words of plain letters first
+        segs = [text[a:b] for a, b in zip(starts[order].tolist(), ends[order].tolist())]
+        n = int(plain.sum())
+        (a, a_offs), (b, b_offs) = self._words(segs[:n]), self.whole(segs[n:])
+        place = np.empty(len(hashes), np.int64)
+        place[order] = len(self.offs) - 1 + np.arange(len(hashes))
+        self.offs = np.concatenate((self.offs, self.offs[-1] + a_offs[1:], self.offs[-1] + a_offs[-1] + b_offs[1:]))
+        self.ids = np.concatenate((self.ids, a, b))
         to = np.searchsorted(self.hashes, hashes)
         self.hashes, self.checks, self.place = (np.insert(a, to, b) for a, b in (
             (self.hashes, hashes), (self.checks, checks), (self.place, place)))
