@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivalry.sources.partitions import partition_values
+
 
 def as_date(value) -> Column:
     """A date literal, or a date-typed column expression passed through."""
@@ -23,22 +25,33 @@ def as_date(value) -> Column:
 def latest_snapshot(df: DataFrame, date_col: str = "dt", by: Sequence[str] = ()) -> DataFrame:
     """Keep the rows whose ``date_col`` equals its maximum.
 
-    Without ``by`` the maximum is a scalar subquery: one tiny aggregate job
-    whose value filters the scan (and prunes ``dt`` partitions), no join and
-    no driver round trip.  With ``by`` (low-cardinality keys such as the
+    Without ``by`` the newest date of a stored, partitioned table comes from
+    its partitions' names, as a constant that picks its folder; of any other
+    frame it is a scalar subquery: one tiny aggregate job whose value filters
+    the scan, no join and no driver round trip.  With ``by`` (low-cardinality keys such as the
     category) the per-group maxima are semi-joined back on
     ``(*by, date_col)`` as a size-checked broadcast, so the table itself is
     never shuffled for the filter.
     """
     if not by:
-        newest = df.agg(F.max(date_col)).scalar()
+        values = partition_values(df, [date_col])
+        if values is None:
+            newest = df.agg(F.max(date_col)).scalar()
+        else:
+            newest = F.lit(max((v for (v,) in values if v is not None), default=None)).cast(df.schema[date_col].dataType)
         return df.filter(F.col(date_col) == newest)
     return df.join(group_max(df, date_col, by), [*by, date_col], "left_semi")
 
 
 def group_max(df: DataFrame, date_col: str, by: Sequence[str]) -> DataFrame:
-    """``(*by, date_col)`` with the maximum per group, as a checked broadcast."""
+    """``(*by, date_col)`` with the maximum per group, as a checked broadcast; from the partitions' names where they tell."""
     from rivalry.functions.joins import checked_broadcast
+    values = partition_values(df, [*by, date_col])
+    if values is not None:
+        # A row per partition, and the frame's types: the newest of each group.
+        names = [*by, date_col]
+        rows = df.sparkSession.createDataFrame(values, ", ".join(f"`{c}` string" for c in names))
+        df = rows.select(*(F.col(c).cast(df.schema[c].dataType).alias(c) for c in names)).dropna()
     return checked_broadcast(df.groupBy(*by).agg(F.max(date_col).alias(date_col)))
 
 

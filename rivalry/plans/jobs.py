@@ -89,6 +89,21 @@ JOBS: dict[str, Callable] = {
 }
 
 
+#: Columns that each output's rows are sorted by within its partitions.
+CLUSTER: dict[str, tuple[str, ...]] = {
+    "brand_profile": ("brand_code",),
+    "erosion_list": ("cid3", "src_brand_code"),
+    "market_profile": ("market", "seg_market"),
+    "coview": ("cid3", "from_brand_code"),
+    "coview_pooled": ("from_brand_code",),
+    "overlap": ("cid3", "brand_code1"),
+    "overlap_pooled": ("brand_code1",),
+    "volume": ("cid3", "brand_code"),
+    "similar_brands": ("cid3", "brand_code_origin"),
+    "similarity_merge": ("cid3", "brand_code_origin"),
+    "declared_rivals": ("pop_id_origin",),
+}
+
 #: Outputs of one spend flow: (frame of the staged flow, its partition columns).
 OF_FLOW: dict[str, Callable] = {
     "brand_profile": lambda f, run_date: (profiles.profile_of_flow(f["flow"], f["names"], f["cats"], run_date=run_date),
@@ -104,7 +119,7 @@ def run_shared(outs: Mapping[str, str], inputs: Mapping[str, DataFrame], run_dat
         raise ValueError(f"{sorted(unknown)} are not outputs of a spend flow: {sorted(OF_FLOW)}")
     staged = shared.staged_brand_flow(inputs["sku_dim"], inputs["sku_switch"], inputs["order_det"], categories=categories)
     for name, out in outs.items():
-        _write(*OF_FLOW[name](staged, run_date), out, run_date, categories, fmt)
+        _write(*OF_FLOW[name](staged, run_date), out, run_date, categories, fmt, CLUSTER[name])
 
 
 def run_job(name: str, inputs: dict[str, DataFrame], out: str, run_date: _dt.date,
@@ -117,15 +132,15 @@ def run_job(name: str, inputs: dict[str, DataFrame], out: str, run_date: _dt.dat
     ``market_profile``).
     """
     df, partition_cols = JOBS[name](inputs, run_date, categories, **options)
-    _write(df, partition_cols, out, run_date, categories, fmt)
+    _write(df, partition_cols, out, run_date, categories, fmt, CLUSTER[name])
 
 
 def _write(df: DataFrame, partition_cols: Sequence[str], out: str, run_date: _dt.date,
-           categories: Sequence[str] | None, fmt: str) -> None:
+           categories: Sequence[str] | None, fmt: str, cluster: Sequence[str]) -> None:
     day = {"dt": run_date.isoformat()}
     by_category = "cid3" in partition_cols and categories is not None
     clear = [{**day, "cid3": c} for c in categories] if by_category else [day]
-    overwrite_partitions(_with_dt(df, run_date), out, partition_cols, fmt, clear)
+    overwrite_partitions(_with_dt(df, run_date), out, partition_cols, fmt, clear, cluster=cluster)
 
 
 __all__ = ["JOBS", "OF_FLOW", "run_job", "run_shared"]

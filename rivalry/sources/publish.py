@@ -39,6 +39,8 @@ RUNS = "_publish"
 DATA, OLD, MANIFEST = "data", "old", "manifest.json"
 #: Folder of a table's partition versions.
 VERSIONS = "_versions"
+#: Rows of one file at most.
+FILE_ROWS = 20_000_000
 
 #: Called with the name of each step before it is taken; tests raise from it.
 Step = Callable[[str], None]
@@ -118,10 +120,23 @@ def _leaves(folders: Folders, root: str, depth: int, under: str = "") -> list[st
     return found
 
 
-def _stage(df: DataFrame, folder: str, partition_cols: Sequence[str], fmt: str) -> None:
+def clustered(df: DataFrame, partition_cols: Sequence[str], cluster: Sequence[str]) -> DataFrame:
+    """``df`` over ranges of (partition, cluster columns) and sorted by them within each.
+
+    A partition's files then hold disjoint ranges of the cluster columns, so a
+    lookup skips most of them by their footers.  The number of ranges is
+    Spark's: its adaptive execution merges small ones.
+    """
+    by = [*partition_cols, *cluster]
+    return df.repartitionByRange(*by).sortWithinPartitions(*by) if cluster else df
+
+
+def _stage(df: DataFrame, folder: str, partition_cols: Sequence[str], fmt: str, cluster: Sequence[str] = ()) -> None:
     """Write a frame to a run's folder and count its rows there."""
     seen = Observation()
-    (df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_cols).format(fmt).save(folder))
+    # Seen after the ranges are made: sampling for them would count the rows a second time.
+    watched = clustered(df, partition_cols, cluster).observe(seen, F.count(F.lit(1)).alias("rows"))
+    watched.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(*partition_cols).format(fmt).save(folder)
     found = df.sparkSession.read.format(fmt).schema(df.schema).load(folder).count()
     if found != (rows := seen.get["rows"]):
         raise OSError(f"{rows} rows were written to {folder}, {found} are there")
@@ -130,14 +145,14 @@ def _stage(df: DataFrame, folder: str, partition_cols: Sequence[str], fmt: str)
 # --- paths ----------------------------------------------------------------------------------------------------------
 
 def publish_path(df: DataFrame, target: str, partition_cols: Sequence[str], fmt: str = "parquet",
-                 clear: Iterable[Mapping[str, str]] = (), step: Step = _no_step) -> None:
+                 clear: Iterable[Mapping[str, str]] = (), step: Step = _no_step, cluster: Sequence[str] = ()) -> None:
     """Replace the partitions present in ``df``, and everything under the values of ``clear``, in a folder."""
     spark, target = df.sparkSession, target.rstrip("/")
     folders, run = Folders(spark, target), f"{target}/{RUNS}/{uuid.uuid4().hex}"
     whole = [_folder_of(spark, partition_cols, values) for values in clear]
     recover(spark, target)
     step("stage")
-    _stage(df, f"{run}/{DATA}", partition_cols, fmt)
+    _stage(df, f"{run}/{DATA}", partition_cols, fmt, cluster)
     own = [p for p in _leaves(folders, f"{run}/{DATA}", len(partition_cols))
            if not any(p == w or p.startswith(f"{w}/") for w in whole)]
     swaps = [{"part": p, "new": folders.exists(f"{run}/{DATA}/{p}")} for p in whole + own]
@@ -164,7 +179,8 @@ def _swap_path(folders: Folders, target: str, run: str, step: Step = _no_step) -
 
 # --- catalog tables -------------------------------------------------------------------------------------------------
 
-def publish_table(df: DataFrame, name: str, clear: Iterable[Mapping[str, str]] = (), step: Step = _no_step) -> None:
+def publish_table(df: DataFrame, name: str, clear: Iterable[Mapping[str, str]] = (), step: Step = _no_step,
+                  cluster: Sequence[str] = ()) -> None:
     """The same for a partitioned catalog table; each partition's new folder is a version of the run."""
     spark, about = df.sparkSession, _described(df.sparkSession, name)
     folders, number = Folders(spark, about["Location"]), uuid.uuid4().hex
@@ -176,7 +192,7 @@ def publish_table(df: DataFrame, name: str, clear: Iterable[Mapping[str, str]] =
     recover(spark, TABLE + name)
     step("stage")
     typed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in spark.table(name).schema))
-    _stage(typed, version, partition_cols, about["Provider"])
+    _stage(typed, version, partition_cols, about["Provider"], cluster)
     new = _leaves(folders, version, len(partition_cols))
     swaps = [{"part": p, "new": f"{version}/{p}", "old": _location(spark, name, p)} for p in new]
     for values in clear:

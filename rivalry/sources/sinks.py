@@ -10,7 +10,8 @@ from rivalry.sources.publish import TABLE, Step, _no_step, publish_path, publish
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[str] = ("dt",), fmt: str = "parquet",
-                         clear: Iterable[Mapping[str, str]] = (), step: Step = _no_step) -> None:
+                         clear: Iterable[Mapping[str, str]] = (), step: Step = _no_step,
+                         cluster: Sequence[str] = ()) -> None:
     """Replace the partitions present in ``df`` and those of ``clear``; leave the others intact.
 
     ``target`` is a path, or ``table:name`` for a catalog table (created if it
@@ -20,14 +21,16 @@ def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[st
     whole, so a rerun whose result lacks a partition, or is empty, leaves no
     stale rows there (the static form).  Columns are written by name,
     partition columns last.  The new partitions are written and checked before
-    any old one goes (see ``publish``).
+    any old one goes (see ``publish``).  With ``cluster`` each partition's rows
+    are sorted by these columns over its files, so that lookups by them skip
+    files.
     """
     spark = df.sparkSession
     df = df.select(*(c for c in df.columns if c not in partition_cols), *partition_cols)
     if not target.startswith(TABLE):
-        publish_path(df, target, partition_cols, fmt, clear, step)
+        publish_path(df, target, partition_cols, fmt, clear, step, cluster)
         return
     name = target[len(TABLE):]
     if not spark.catalog.tableExists(name):
         df.limit(0).write.partitionBy(*partition_cols).format(fmt).saveAsTable(name)
-    publish_table(df, name, clear, step)
+    publish_table(df, name, clear, step, cluster)

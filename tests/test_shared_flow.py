@@ -68,10 +68,10 @@ def _bad(monkeypatch):
 
     real = jobs.overwrite_partitions
 
-    def write(df, target, *args):
+    def write(df, target, *args, **more):
         if target == "bad":
             raise OSError("no such place")
-        return real(df, target, *args)
+        return real(df, target, *args, **more)
 
     monkeypatch.setattr(jobs, "overwrite_partitions", write)
     return "bad"
