@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from rivalry.session import ensure_checkpoint_dir
 
 
+#: Rows of an Arrow batch: texts may be long, and a batch is held on both sides of the pipe to a worker.
+BATCH_ROWS, _ROWS_KEY = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def located(query):
-    """``query(spark, ...)`` whose Python workers find this package where the driver found it.
+    """``query(spark, ...)`` whose Python workers find this package where the driver found it, and get batches of
+    ``BATCH_ROWS`` rows at most (a setting of the session, lowered if it is higher).
 
     A worker looks in its own path; a driver that put the repository on its path by other means than ``PYTHONPATH`` has
     to say so.  On a cluster whose executors have no such folder the package is installed or shipped as usual.
@@ -27,6 +32,8 @@ def located(query):
         paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
         if root not in paths:
             env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        if int(spark.conf.get(_ROWS_KEY)) > BATCH_ROWS:
+            spark.conf.set(_ROWS_KEY, BATCH_ROWS)
         return query(spark, *args)
 
     return run
