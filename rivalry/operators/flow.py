@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivalry.functions.dates import dt_value
+from rivalry.functions.joins import checked_broadcast
 from rivalry.functions.numeric import RATIO_SCALE, money_out, money_ratio
 
 # Flow sums: prob (6 decimals) × GMV (4 decimals), exact; 20 integer digits.
@@ -33,7 +34,7 @@ FLOW_TYPE = "decimal(30,10)"
 
 
 def spend_flow(switch: DataFrame, labels: DataFrame, gmv: DataFrame, *,
-               keys: Sequence[str] = ("cid3",), segment: str = "brand_code") -> DataFrame:
+               keys: Sequence[str] = ("cid3",), segment: str = "brand_code", hot_rows: int | None = None) -> DataFrame:
     """Spend flow between segments.
 
     ``switch``: (cid3, src_item_id, dst_item_id, switching_prob) of one snapshot.
@@ -50,8 +51,12 @@ def spend_flow(switch: DataFrame, labels: DataFrame, gmv: DataFrame, *,
     user repartition: a destination SKU that a third of all pairs point to
     would land in one task.  With the aggregate, the hot SKU arrives
     pre-combined and the label join's shuffle stays splittable.  The first
-    join needs no such care: a source SKU's rows are its substitute
+    join needs no such care where a source SKU's rows are its substitute
     candidates, bounded by the SKUs of its category, not by data volume.
+    Where they aren't, ``hot_rows`` takes the source SKUs with more pairs than
+    that out of the join: their GMV and labels are a few rows, which meet the
+    pairs as a size-checked broadcast.  Switching pairs, GMV and labels stored
+    in buckets by (category, SKU) (``plans.layout``) meet without a shuffle.
     All inner joins: pairs without GMV or labels drop out.
     """
     keys = list(keys)
@@ -60,10 +65,16 @@ def spend_flow(switch: DataFrame, labels: DataFrame, gmv: DataFrame, *,
     g = gmv.select("cid3", F.col("sku_id").alias("src_item_id"), "gmv")
     src = labels.select(*keys, F.col("sku_id").alias("src_item_id"), F.col(segment).alias(src_seg))
     dst = labels.select(*keys, F.col("sku_id").alias("dst_item_id"), F.col(segment).alias(dst_seg))
-    partial = (sw.join(g, ["cid3", "src_item_id"])
-                 .join(src, ["cid3", "src_item_id"])
-                 .groupBy(*keys, src_seg, "dst_item_id")
-                 .agg(F.sum(F.col("switching_prob") * F.col("gmv")).alias("spend")))
+    source = ["cid3", "src_item_id"]
+    if hot_rows is None:
+        met = sw.join(g, source).join(src, source)
+    else:
+        hot = checked_broadcast(sw.groupBy(*source).count().filter(F.col("count") > hot_rows).select(*source))
+        of_hot = checked_broadcast(g.join(hot, source, "left_semi").join(src, source))
+        met = (sw.join(hot, source, "left_anti").join(g, source).join(src, source)
+                 .unionByName(sw.join(hot, source, "left_semi").join(of_hot, source)))
+    partial = (met.groupBy(*keys, src_seg, "dst_item_id")
+                  .agg(F.sum(F.col("switching_prob") * F.col("gmv")).alias("spend")))
     return (partial.join(dst, [*keys, "dst_item_id"])
                    .groupBy(*keys, src_seg, dst_seg)
                    .agg(F.sum("spend").cast(FLOW_TYPE).alias("spend_switch")))

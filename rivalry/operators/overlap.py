@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rivalry.functions.dates import trailing
 from rivalry.functions.numeric import ratio
+from rivalry.operators import distinct
 from rivalry.params import SOLD_DAYS
 
 SIDE = ("cid3_{}", "main_sku_id{}", "brand_code{}", "brand_name{}")
@@ -38,13 +39,21 @@ def symmetric_matches(matches: DataFrame, *, categories: Sequence[str] | None =
 
 
 def sku_overlap(sym: DataFrame, sku_sales: DataFrame, *, end, days: int = SOLD_DAYS,
-                categories: Sequence[str] | None = None) -> DataFrame:
+                categories: Sequence[str] | None = None, sold_daily: DataFrame | None = None) -> DataFrame:
     """Overlap of brand1 with brand2 per category.
 
     ``match_sku_num`` = distinct brand1 SKUs matched to brand2;
     ``sku_num`` = distinct brand1 SKUs sold (quantity > 0) in the window.
     The two count different SKU universes, so the ratio can exceed 1.
+    With ``sold_daily`` (``distinct.sold_by_day``, kept by day) the sold SKUs
+    are the OR of the window's daily bitmaps instead of a scan of its sales,
+    and the matched ones are counted by bitmaps, too: no SKU row is shuffled.
     """
+    if sold_daily is not None:
+        keys = ["cid3", "brand_code1", "brand_name1", "brand_code2", "brand_name2"]
+        num = distinct.count_distinct(sym.withColumnRenamed("cid3_1", "cid3"), keys, "main_sku_id1", "match_sku_num")
+        den = distinct.sold_in_window(sold_daily, end=end, days=days, categories=categories)
+        return _overlap(num, den.withColumnRenamed("brand_code", "brand_code1"))
     num = (sym.groupBy(F.col("cid3_1").alias("cid3"), "brand_code1", "brand_name1",
                        "brand_code2", "brand_name2")
               .agg(F.count_distinct("main_sku_id1").alias("match_sku_num")))
@@ -53,17 +62,35 @@ def sku_overlap(sym: DataFrame, sku_sales: DataFrame, *, end, days: int = SOLD_D
         sold = sold.filter(F.col("cid3").isin(*categories))
     den = (sold.groupBy("cid3", F.col("brand_code").alias("brand_code1"))
                .agg(F.count_distinct("sku_id").alias("sku_num")))
+    return _overlap(num, den)
+
+
+def _overlap(num: DataFrame, den: DataFrame) -> DataFrame:
     return (num.join(den, ["cid3", "brand_code1"])
                .select("cid3", "brand_code1", "brand_name1", "brand_code2", "brand_name2",
                        "match_sku_num", "sku_num",
                        ratio("match_sku_num", "sku_num").alias("overlap_ratio")))
 
 
-def sku_overlap_pooled(sym: DataFrame) -> DataFrame:
-    """Overlap over all categories; denominator = distinct matched SKUs of brand1."""
+def sku_overlap_pooled(sym: DataFrame, by_bitmaps: bool = False) -> DataFrame:
+    """Overlap over all categories; denominator = distinct matched SKUs of brand1.
+
+    With ``by_bitmaps`` the SKU numbers are counted as bitmaps (``distinct``):
+    brand1's are the OR of those of its pairs, so the matches are read once.
+    """
+    if by_bitmaps:
+        keys = ["brand_code1", "brand_name1", "brand_code2", "brand_name2"]
+        maps = distinct.bitmaps(sym, keys, "main_sku_id1")
+        num = maps.groupBy(*keys).agg(F.sum(F.bitmap_count(F.col("bits"))).alias("match_sku_num"))
+        den = distinct.counts(maps, ["brand_code1"], "sku_num")
+        return _pooled(num, den)
     num = (sym.groupBy("brand_code1", "brand_name1", "brand_code2", "brand_name2")
               .agg(F.count_distinct("main_sku_id1").alias("match_sku_num")))
     den = sym.groupBy("brand_code1").agg(F.count_distinct("main_sku_id1").alias("sku_num"))
+    return _pooled(num, den)
+
+
+def _pooled(num: DataFrame, den: DataFrame) -> DataFrame:
     return (num.join(den, "brand_code1")
                .select("brand_code1", "brand_name1", "brand_code2", "brand_name2",
                        "match_sku_num", "sku_num",

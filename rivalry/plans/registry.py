@@ -8,6 +8,7 @@ BIGINT) and match the DuckDB oracles in ``rivalry.oracle`` by name.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -17,12 +18,13 @@ from pyspark.sql import functions as F
 from rivalry.functions.dates import dt_value, latest_snapshot, trailing
 from rivalry.functions.numeric import money_out
 from rivalry.operators import flow as flow_ops
-from rivalry.operators.overlap import symmetric_matches
+from rivalry.operators.distinct import store_sold
+from rivalry.operators.overlap import sku_overlap, sku_overlap_pooled, symmetric_matches
 from rivalry.operators.segments import brand_labels, category_list, market_labels, sku_gmv
 from rivalry.operators.similarity import declared_rivals, strong_coview, strong_overlap
 from rivalry.operators.volume import volume_rank
 from rivalry.params import GMV_DAYS
-from rivalry.plans import profiles, similarity
+from rivalry.plans import layout, profiles, similarity, sliding
 from rivalry.session import ensure_checkpoint_dir
 from rivalry.sources import fixtures as fx
 from rivalry.sources.sinks import overwrite_partitions
@@ -31,6 +33,8 @@ from rivalry.sources.sinks import overwrite_partitions
 CATEGORIES = ("ECONOMY", "SMALL", "STANDARD")
 # Ranges of the distributed rank: more than categories, so that some category spans several.
 RANGES = 24
+# Buckets of the stored flow inputs.
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,6 +186,46 @@ def q_overlap_pooled(spark, d):
     return similarity.overlap_pooled(fx.sku_match(spark, d))
 
 
+def q_overlap_by_category_bitmaps(spark, d):
+    """D17 from daily bitmaps that are kept."""
+    sales = fx.sku_sales(spark, d)
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-sold/{uuid.uuid4().hex}"
+    store_sold(sales, target)
+    daily = spark.read.schema("dt date, cid3 string, brand_code string, bucket bigint, bits binary, month string").parquet(target)
+    sym = symmetric_matches(latest_snapshot(fx.sku_match(spark, d), "dt"))
+    return sku_overlap(sym, sales, end=fx.SIMILARITY_RUN_DATE, sold_daily=daily)
+
+
+def q_overlap_pooled_bitmaps(spark, d):
+    sym = symmetric_matches(latest_snapshot(fx.sku_match(spark, d), "dt"), by_category=False)
+    return sku_overlap_pooled(sym, by_bitmaps=True)
+
+
+def q_sku_gmv_sliding(spark, d):
+    """The year's SKU GMV at the run date: a state of two weeks before, advanced by days and by late lines."""
+    lines, target = fx.order_det(spark, d), f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-sums/{uuid.uuid4().hex}"
+    late = F.col("okey") % 7 == 0
+    before = fx.ORDER_RUN_DATE - dt.timedelta(14)
+    sliding.store_batch(lines.filter(~late), target, 1)
+    sliding.store_batch(lines.filter(late), target, 2)
+    sums = spark.read.schema("dt date, cid3 string, sku_id bigint, amount decimal(22,4), n bigint, batch int").parquet(target)
+    state = sliding.window_state(sums, end=before, batch=1)
+    now = sliding.advance(state, sums, end=before, batch=1, to_end=fx.ORDER_RUN_DATE, to_batch=2)
+    return sliding.sku_gmv(now).select("cid3", "sku_id", money_out("gmv").alias("gmv"))
+
+
+def q_brand_spend_flow_stored(spark, d):
+    """D6 of inputs stored in buckets by (category, SKU)."""
+    dim = latest_snapshot(fx.sku_dim(spark, d), "dt")
+    sw, ends = profiles.latest_switching(fx.sku_switch(spark, d))
+    inputs = {"switch": sw, "gmv": sku_gmv(fx.order_det(spark, d), end=ends), "labels": brand_labels(dim)[0]}
+    number = uuid.uuid4().hex
+    tables = layout.store_bucketed(inputs, f"rivalry_{number}", BUCKETS,
+                                   f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivalry-buckets")
+    return layout.flow_of(tables).select("cid3", "src_brand_code", "dst_brand_code",
+                                         money_out("spend_switch").alias("spend_switch"))
+
+
 def q_volume_rank(spark, d):
     r = volume_rank(fx.sku_sales(spark, d), end=fx.SIMILARITY_RUN_DATE)
     return r.select("cid3", "brand_code", money_out("brand_gmv").alias("brand_gmv"), "gmv_rank")
@@ -254,6 +298,10 @@ QUERIES: dict[str, Query] = {
     "symmetric_matches": q_symmetric_matches,
     "overlap_by_category": q_overlap_by_category,
     "overlap_pooled": q_overlap_pooled,
+    "overlap_by_category_bitmaps": q_overlap_by_category_bitmaps,
+    "overlap_pooled_bitmaps": q_overlap_pooled_bitmaps,
+    "sku_gmv_sliding": q_sku_gmv_sliding,
+    "brand_spend_flow_stored": q_brand_spend_flow_stored,
     "volume_rank": q_volume_rank,
     "volume_rank_by_ranges": q_volume_rank_by_ranges,
     "volume_neighbours": q_volume_neighbours,
