@@ -45,7 +45,7 @@ from rivalry.functions.joins import checked_broadcast
 from rivalry.llm import memory, packed
 from rivalry.llm import textarrays as ta
 from rivalry.llm.components import components
-from rivalry.llm.store import staged
+from rivalry.llm.store import fresh, staged
 
 K, NUM, DEN = 4, 85, 100
 #: Shingles that a task gathers before it sends, and that a receiving task holds on average.
@@ -413,20 +413,20 @@ def one_of_each(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) ->
     rows = staged(similarity_join(docs, k, num, den).filter("root IS NOT NULL"), "near")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     first = rows.groupBy("root").agg(F.min(place).alias("first"))
-    key = ["_doc", "_key"]
+    name, doc, key = fresh(docs, "_own", "_doc", "_key")
     gone = (rows.join(first, "root").filter(place != F.col("first"))
-            .select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct())
-    twice = rows.groupBy("doc_id", "key").count().filter("count > 1").select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
+            .select(F.col("doc_id").alias(doc), F.col("key").alias(key)).distinct())
+    twice = rows.groupBy("doc_id", "key").count().filter("count > 1").select(F.col("doc_id").alias(doc), F.col("key").alias(key))
 
     def on(frame: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        return frame.join(other, frame["doc_id"].eqNullSafe(other["_doc"]) & (frame["_own"] == other["_key"]), how)
+        return frame.join(other, frame["doc_id"].eqNullSafe(other[doc]) & (frame[name] == other[key]), how)
 
-    own = docs.withColumn("_own", F.xxhash64("doc_id", "text"))
+    own = docs.withColumn(name, F.xxhash64("doc_id", "text"))
     kept = on(own, checked_broadcast(gone), "left_anti")
     if not twice.isEmpty():  # rows that repeat id and text
         again = checked_broadcast(twice)
-        kept = on(kept, again, "left_anti").unionByName(on(kept, again, "left_semi").dropDuplicates(["doc_id", "_own"]))
-    return kept.drop("_own", *key)
+        kept = on(kept, again, "left_anti").unionByName(on(kept, again, "left_semi").dropDuplicates(["doc_id", name]))
+    return kept.drop(name)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -247,14 +247,15 @@ class Model:
         return names, score
 
 
-def predict(docs: DataFrame, words: dict[str, list[str]]) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; the prediction sees nothing but ``text``."""
+def predict(docs: DataFrame, words: dict[str, list[str]], into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and its score in the columns ``into`` (which are replaced if there are such); the
+    prediction sees nothing but ``text``."""
     model = Model(words)
     if model.many():
         model.store(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    schema = T.StructType([*keep, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    keep = [f for f in docs.schema.fields if f.name not in into]
+    schema = T.StructType([*keep, T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
     names = [f.name for f in schema.fields]
     at = [f.name for f in keep].index("text")
 

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivalry.functions.joins import checked_broadcast
+from rivalry.llm.store import fresh
 
 
 @dataclass(frozen=True)
@@ -175,20 +176,21 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
     return F.aggregate(sizes, start, step, lambda acc: acc["out"])
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with ``secrets``: array of (start, number, end, kind), ordered by start, then rule."""
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "secrets") -> DataFrame:
+    """``docs`` with a column ``into``: array of (start, number, end, kind), ordered by start, then rule."""
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     trigrams = sorted({t for q in queries.values() for run in q for alt in run for t in alt})
     found = candidates(postings(docs, trigrams), trigrams, queries)
-    found = checked_broadcast(found.select(F.col("doc_id").alias("_doc"), F.col("rules").alias("_rules")))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_doc"]), "left")
+    doc, those = fresh(docs, "_doc", "_rules")
+    found = checked_broadcast(found.select(F.col("doc_id").alias(doc), F.col("rules").alias(those)))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[doc]), "left")
     text = F.coalesce(docs["text"], F.lit(""))
     none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
     spans = []
     for n, rule in enumerate(rules):
-        here = F.array_contains("_rules", rule.kind) if rule.kind in queries else text.rlike(rule.pattern)
+        here = F.array_contains(those, rule.kind) if rule.kind in queries else text.rlike(rule.pattern)
         spans.append(F.when(here, _spans(text, rule, n)).otherwise(none))
-    return joined.withColumn("secrets", F.array_sort(F.concat(*spans))).drop("_doc", "_rules")
+    return joined.withColumn(into, F.array_sort(F.concat(*spans))).drop(doc, those)
 
 
 def _joined(spans: Column) -> Column:
@@ -200,7 +202,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Columns stay as they are, except that ``n_chars`` (if there) follows the new text.
     """
-    cols = docs.columns
+    cols, (spans,) = docs.columns, fresh(docs, "secrets")
     text = F.coalesce(F.col("text"), F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -211,11 +213,11 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["),
                                    s["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"))
 
-    clean = F.aggregate("secrets", start, step,
+    clean = F.aggregate(spans, start, step,
                         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    out = scan(docs, rules).withColumn("text", F.when(F.size("secrets") > 0, clean).otherwise(F.col("text")))
+    out = scan(docs, rules, spans).withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(F.col("text")))
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long"))
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long"))
                              .otherwise(F.col("n_chars")))
     return out.select(*cols)
 

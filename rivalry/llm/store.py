@@ -39,6 +39,16 @@ def located(query):
     return run
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that ``df`` has columns of (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder (unique per call)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from rivalry.functions.joins import checked_broadcast
 from rivalry.llm import memory
-from rivalry.llm.store import filesystem, scratch, write_file
+from rivalry.llm.store import filesystem, scratch, staged, write_file
 
 MIN_PAYLOAD = 100
 #: Fixed values of the format.
@@ -225,12 +225,15 @@ def resolve(found: DataFrame) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of captures, revisits followed.
 
     A response's row is light (no payload); the revisits meet it in an outer
-    join whose large side is split where one response has very many.
+    join whose large side is split where one response has very many.  The
+    light rows are stored first, so that the archives are parsed once for
+    both sides.
     """
     page = F.from_json("metadata.info", "page_id long, url string")
     flat = found.select("record_id", page["page_id"].alias("page_id"), page["url"].alias("url"),
                         F.col("response.warc_type").alias("record_type"), F.col("response.refers_to").alias("target"),
                         F.col("response.payload_bytes").alias("bytes"), F.col("response.payload_digest").alias("payload_digest"))
+    flat = staged(flat, "captures")
     held = flat.filter("record_type = 'response'").select(
         F.col("record_id").alias("_id"), F.col("page_id").alias("_page"), F.col("bytes").alias("_bytes"))
     return flat.join(held, F.col("target") == F.col("_id"), "left").select(

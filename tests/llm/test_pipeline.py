@@ -61,6 +61,24 @@ def test_stages_take_odd_rows_and_keep_columns(spark, small_dir):
     assert cp.tokens(spark, docs, small_dir).filter(F.size("ids") != F.col("n_tokens")).count() == 0
 
 
+def test_stages_keep_the_values_of_clashing_columns(spark, small_dir):
+    """Columns with names that the operators use themselves come out as they went in."""
+    names = ["lang_pred", "score", "secrets", "_own", "_doc", "_key", "_rules", "key", "root", "n", "h", "seg", "ids", "rules", "first"]
+    rows = [(i, t, "en", "s", len(t or "")) + tuple(f"{n} {i}" for n in names) for i, t in enumerate(ODD_TEXTS)]
+    rows += [(i, "the same words in two rows, twice", "en", "s", 33) + tuple(f"{n} {i}" for n in names) for i in (95, 96)]
+    rows += [(97, "password = hunter2222 and more", "en", "s", 30) + tuple(f"{n} 97" for n in names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in cp.STAGES[:-1]:
+        docs = staged(stage(spark, docs, small_dir), "clash")
+        got = docs.collect()
+        assert len(got) > 5, name
+        assert all(r[n] == f"{n} {r.doc_id}" for r in got for n in names), name
+    assert {95, 97} <= {r.doc_id for r in got} and 96 not in {r.doc_id for r in got}
+    assert [r.text for r in got if r.doc_id == 97] == ["[assign] and more"]
+    assert cp.tokens(spark, docs, small_dir).count() == len(got)
+
+
 def test_unlabelled_texts_with_letters_pass(spark, small_dir):
     rows = [(i, t, None, "s", len(t or "")) for i, t in enumerate(ODD_TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
@@ -72,4 +90,4 @@ def test_stages_and_registration():
     import __spark_entry__ as entry
     assert [n for n, _ in cp.STAGES] == ["language", "near_duplicates", "decontaminate", "secrets", "tokens"]
     names = entry.queries()
-    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
