@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivalry.llm import decontaminate, jaccard_tree, language, secret_scan, sentencepiece_lattice
-from rivalry.llm.store import located, staged
+from rivalry.llm.store import fresh, located, staged
 
 #: Near duplicates: word shingles of five, Jaccard similarity of 0.8 or more.
 SHINGLE, NUM, DEN = 5, 80, 100
@@ -21,7 +21,8 @@ TOKENIZER = "piece_bpe_32k.model"
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: texts of no language (null, empty, without a letter) go, and only they if there is none to learn."""
     words = language.train(docs) or {"any": []}
-    known = language.predict(docs, words).filter(F.col("lang_pred") != language.UNKNOWN)
+    into = tuple(fresh(docs, "lang_pred", "score"))
+    known = language.predict(docs, words, into).filter(F.col(into[0]) != language.UNKNOWN)
     return known.select(*docs.columns)
 
 
