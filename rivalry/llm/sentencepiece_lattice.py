@@ -153,7 +153,10 @@ def words(text: str | None) -> list[str]:
 
 
 def distinct_segments(docs: DataFrame, proto) -> DataFrame:
-    """(h, seg): distinct segments of ``docs.text``, of up to ``MAX_SEGMENT`` characters, and their hashes, dealt by hash."""
+    """(h, seg): distinct segments of ``docs.text``, of up to ``MAX_SEGMENT`` characters, and their hashes, dealt by hash.
+
+    A task sends a segment once, so nothing is left to combine before the shuffle.
+    """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin("pieces")
@@ -179,8 +182,7 @@ def distinct_segments(docs: DataFrame, proto) -> DataFrame:
                     seen, sent = set(), np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array(out, pa.string())], ["h", "seg"])
 
-    return docs.select("text").mapInArrow(local, "h long, seg string").groupBy("h").agg(F.min("seg").alias("seg"), F.max("seg").alias("other")).select(
-        "h", F.when(F.col("seg") == F.col("other"), F.col("seg")).otherwise(F.raise_error(F.lit("two segments have one hash"))).alias("seg"))
+    return docs.select("text").mapInArrow(local, "h long, seg string").repartition("h").dropDuplicates(["h", "seg"])
 
 
 def _bits(at: Column) -> Column:
@@ -204,8 +206,8 @@ def fold_bpe(edges: DataFrame, first_byte: int) -> DataFrame:
     merge = F.struct((-F.col("score")).alias("rank"), "start", (_bits(F.col("start")).bitwiseOR(_bits(end))).alias("ends"),
                      (_bits(end) - _bits(F.col("start") + 1)).alias("inner"))
     edge = F.struct("start", "n", "id")
-    grouped = edges.groupBy("h").agg(F.min("seg").alias("seg"), F.sort_array(F.collect_list(F.when(F.col("n") > 1, merge)))
-                                     .alias("merges"), F.collect_list(edge).alias("edges"))
+    grouped = edges.groupBy("h", "seg").agg(F.sort_array(F.collect_list(F.when(F.col("n") > 1, merge))).alias("merges"),
+                                            F.collect_list(edge).alias("edges"))
     size = F.length("seg")
 
     def step(borders: Column, _: Column) -> Column:
@@ -230,7 +232,7 @@ def fold_viterbi(edges: DataFrame, first_byte: int, unknown: float) -> DataFrame
     """(h, seg, ids) of the path of greatest score (ties: the longer last piece); ``unknown`` scores a lone character."""
     edge = F.struct((F.col("start") + F.col("n")).alias("end"), "start", "n", "id",
                     F.coalesce("score", F.lit(unknown)).alias("score"))
-    grouped = edges.groupBy("h").agg(F.min("seg").alias("seg"), F.sort_array(F.collect_list(edge)).alias("edges"))
+    grouped = edges.groupBy("h", "seg").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     path = "array<struct<start:int,n:int,id:int>>"
     # Edges come by end, then start: all that end at a position come before any that starts there.
     cell = f"struct<score:double,path:{path}>"
