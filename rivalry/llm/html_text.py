@@ -4,14 +4,18 @@ The standard library's parser streams a page's events once.  Block borders
 cut the page into *lines*; each has its characters and its tags.  The ratio
 characters / tags per line is smoothed with a Gaussian kernel, and lines
 above the threshold (the standard deviation of the smoothed ratios) form the
-content cluster.  The *region* starts as the whole page and narrows to a
-child element as long as that child holds every cluster line and every
-headline; an ``article`` or ``main`` that holds the whole cluster is never
-narrowed.  If none holds it, the region is what encloses every ``article``
-with cluster lines and a ``main`` with most of them.  All lines of the region are its text, short ones too: nothing is
-dropped inside.  Lines in elements whose tag, role, class or id names them as
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-or reader comments belong to no region.
+content cluster.  Where the page marks its article, the *region* is the
+innermost ``article`` or ``main`` that holds the whole cluster, or what
+encloses every ``article`` with cluster lines and a ``main`` with most of
+them; all of its lines are text.  Everywhere else the cluster chooses:
+a *container* (what holds paragraphs, headings and list items) is content if
+at least half of its characters are cluster lines and links aren't most of its
+text.  Short lines grow with their container; a container that isn't content
+itself stays if it lies within a content container, or between content lines,
+and links aren't most of its text either; headlines stay if they lead to content.  Names only veto: lines
+in elements whose tag, role, class or id names them as menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles or reader comments
+belong to no region.
 
 Null or empty html, and pages without text, give the empty string.  Markup
 that isn't closed or is cut off ends with its parent or with the page.
@@ -50,6 +54,8 @@ NAMES = re.compile(
 PAGE_HEAD = re.compile(r"(?:^|[\s_-])(?:header|topbar|site-title)(?=$|[\s_-])", re.I)
 COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies)|respond)(?=$|[\s_-])", re.I)
 HEADLINES = frozenset(("h1", "h2"))
+#: Elements that belong to the container around them.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre address center caption summary".split())
 #: A start tag that ends an open element of the given tags, if that is the innermost.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav "
                    "ol p pre section table ul".split())
@@ -58,31 +64,34 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 
 
 class _Lines(HTMLParser):
-    """Collects the lines of a page: text, tags, element, headline or not; and the elements' parents."""
+    """Collects the lines of a page: text, tags, element, headline or not, characters in links; and the elements' parents."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, int]] = []
         self.parents, self.tags = [0], ["#page"]
         self.stack = [("#page", 0, False, False)]  # tag, element, skipped, inside an article
         self.parts: list[str] = []
-        self.count = 0
+        self.count = self.linked = 0
+        self.link = False
 
     def cut(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
                 tag, element, _, _ = self.stack[-1]
-                self.lines.append((text, self.count, element, any(t[0] in HEADLINES for t in self.stack[-3:])))
+                self.lines.append((text, self.count, element, any(t[0] in HEADLINES for t in self.stack[-3:]), self.linked))
                 self.count = 0
-            self.parts = []
+            self.parts, self.linked = [], 0
 
     def handle_data(self, data: str) -> None:
         if not self.stack[-1][2]:
             self.parts.append(data)
+            self.linked += len(data) * self.link
 
     def handle_starttag(self, tag: str, attrs) -> None:
         self.count += 1
+        self.link = tag == "a" or self.link and tag in INLINE
         if tag in INLINE:
             if tag in VOID or not attrs:
                 if tag not in VOID and self.stack[-1][2]:
@@ -140,6 +149,7 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        self.link = self.link and tag != "a"
         if tag not in INLINE:
             self.cut()
         elif not self.stack[-1][2]:
@@ -183,41 +193,64 @@ def main_text(html: str | None) -> str:
     page.cut()
     if not page.lines:
         return ""
-    cluster = content_cluster([len(t) / max(1, n) for t, n, _, _ in page.lines])
+    cluster = content_cluster([len(t) / max(1, n) for t, n, *_ in page.lines])
     chars = [0] * len(page.parents)  # of cluster lines in each element's subtree
-    heads = [0] * len(page.parents)
-    for (text, _, element, head), inside in zip(page.lines, cluster):
+    for (text, _, element, *_), inside in zip(page.lines, cluster):
         chars[element] += len(text) * inside
-        heads[element] += head
     for e in range(len(page.parents) - 1, 0, -1):
         chars[page.parents[e]] += chars[e]
-        heads[page.parents[e]] += heads[e]
-    region = _region(page, chars, heads)
-    inside = [False] * len(page.parents)
-    for e in range(len(page.parents)):
-        inside[e] = e == region or (e > 0 and inside[page.parents[e]])
-    return " ".join(text for text, _, element, _ in page.lines if inside[element])
-
-
-def _region(page: _Lines, chars: list[int], heads: list[int]) -> int:
+    region = _marked(page, chars)
+    if region is None:
+        kept = grown(page, cluster)
+    else:
+        inside = [False] * len(page.parents)
+        for e in range(len(page.parents)):
+            inside[e] = e == region or (e > 0 and inside[page.parents[e]])
+        kept = [inside[element] for _, _, element, *_ in page.lines]
+    return " ".join(line[0] for line, keep in zip(page.lines, kept) if keep)
+
+
+def _marked(page: _Lines, chars: list[int]) -> int | None:
+    """The element of the region that the page's own marks give, if they do."""
     named = [e for e, t in enumerate(page.tags) if t in ("article", "main") and chars[e] == chars[0] > 0]
     if named:
         return max(named)  # the innermost that holds the whole cluster
     several = [e for e, t in enumerate(page.tags) if t == "article" and chars[e] or t == "main" and 2 * chars[e] > chars[0] > 0]
-    if several:  # what holds them all
-        region = several[0]
-        while not all(_under(page, e, region) for e in several):
-            region = page.parents[region]
-        return region
-    region, children = 0, {}
-    for e in range(1, len(page.parents)):
-        children.setdefault(page.parents[e], []).append(e)
-    while True:
-        whole = [c for c in children.get(region, ()) if chars[c] == chars[region] and heads[c] == heads[region]
-                 and page.tags[c] not in ("p", "li", "td")]
-        if len(whole) != 1 or not chars[region]:
-            return region
-        region = whole[0]
+    if not several:
+        return None
+    region = several[0]  # what holds them all
+    while not all(_under(page, e, region) for e in several):
+        region = page.parents[region]
+    return region
+
+
+def grown(page: _Lines, cluster: list[bool]) -> list[bool]:
+    """Which lines are kept where only the cluster tells: its containers, and what grows with them."""
+    holder = [page.parents[e] if page.tags[e] in LEAVES else e for _, _, e, *_ in page.lines]
+    n = len(page.parents)
+    total, found, linked = [0] * n, [0] * n, [0] * n
+    for (text, _, _, _, link), own, inside in zip(page.lines, holder, cluster):
+        total[own] += len(text)
+        found[own] += len(text) * inside
+        linked[own] += link
+    dense = [2 * f >= t for f, t in zip(found, total)]
+    for e in range(n - 1, 0, -1):  # with all that lies in it
+        for of in (total, linked):
+            of[page.parents[e]] += of[e]
+    text_like = [2 * k <= t for k, t in zip(linked, total)]
+    content = {c for c in set(holder) if dense[c] and text_like[c]}
+    within, leads = [False] * n, [False] * n
+    for e in range(n):
+        within[e] = e in content or (e > 0 and within[page.parents[e]])
+        leads[e] = e in content
+    for e in range(n - 1, 0, -1):
+        leads[page.parents[e]] |= leads[e]
+    at = [i for i, own in enumerate(holder) if own in content]
+    first, last = (at[0], at[-1]) if at else (0, len(holder))
+    kept = []
+    for i, ((_, _, _, head, _), own) in enumerate(zip(page.lines, holder)):
+        kept.append(own in content or text_like[own] and (within[own] or first < i < last) or head and i < last and leads[own])
+    return kept
 
 
 def _under(page: _Lines, e: int, top: int) -> bool:

@@ -70,3 +70,77 @@ def test_articles_of_unequal_size_are_kept():
     inner = ht.main_text(page.format(f"<main><article><p>{a}</p></article><div><p>{b}</p></div></main>"))
     assert inner == f"{a} {b}"
     assert ht.main_text(page.format(f"<article><p>{a}</p><p>{b}</p></article>")) == f"{a} {b}"
+
+
+LONG = "Paragraphs of the article have many characters for each of their tags, so that their smoothed ratio is high. " * 2
+LINKS = "<div class='left'><div><a href=/w>World</a></div><div><a href=/s>Sport</a></div><div><a href=/a>Arts</a></div><div><a href=/b>Books</a></div></div>"
+MOST = "<div class='right'><b>Most</b> <i>read</i><ul><li><a href=/1>One</a><li><a href=/2>Two</a><li><a href=/3>Three</a></ul></div>"
+#: Pages without ``article``, ``main`` or names that tell anything, and their main text.
+PLAIN_PAGES = [
+    ("<body>" + LINKS + "<div class='middle'><h1>Title</h1><p>" + LONG + "</p><p>Short.</p><p>" + LONG + "</p><p>End.</p></div>" + MOST + "</body>",
+     ["Title", LONG, "Short.", LONG, "End."]),
+    ("<table><tr><td>" + LINKS + "</td><td><h2>Title</h2><div>" + LONG + "</div><ul><li>one<li>two</ul><div>" + LONG + "</div></td><td>" + MOST + "</td></tr></table>",
+     ["Title", LONG, "one", "two", LONG]),
+    ("<body>" + LINKS + "<h1>Title</h1><p>" + LONG + "<p>Short.<p>" + LONG + MOST + "</body>", ["Title", LONG, "Short.", LONG]),
+]
+
+
+def test_the_cluster_chooses_where_no_mark_tells(monkeypatch):
+    import random
+
+    for page, want in PLAIN_PAGES:
+        assert ht.main_text(page) == " ".join(x.strip() for x in want)
+    rng, real = random.Random(1), ht.content_cluster
+
+    def changed():
+        return [ht.main_text(page) != " ".join(x.strip() for x in want) for page, want in PLAIN_PAGES]
+
+    monkeypatch.setattr(ht, "content_cluster", lambda ratios: [not x for x in real(ratios)])
+    assert all(changed())
+    monkeypatch.setattr(ht, "content_cluster", lambda ratios: [rng.random() < 0.3 for _ in ratios])
+    assert sum(sum(changed()) for _ in range(20)) > 10
+    monkeypatch.setattr(ht, "content_cluster", lambda ratios: [True] * len(ratios))
+    assert all("World" in ht.main_text(page) for page, _ in PLAIN_PAGES)
+
+
+def brute_cluster(lines):
+    """Ratios, smoothing and threshold written out, line by line."""
+    ratios = [len(t) / max(1, n) for t, n in lines]
+    smooth = []
+    for i in range(len(ratios)):
+        top = weight = 0.0
+        for j in range(len(ratios)):
+            if abs(i - j) <= 3:
+                w = 2.718281828459045 ** (-((i - j) ** 2) / 2)
+                top, weight = top + w * ratios[j], weight + w
+        smooth.append(top / weight)
+    mean = sum(smooth) / len(smooth)
+    deviation = (sum((x - mean) ** 2 for x in smooth) / len(smooth)) ** 0.5
+    return [x >= min(mean, deviation) - 1e-9 for x in smooth]
+
+
+def test_cluster_equals_brute_force(small_dir):
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table(f"{small_dir}/pages.parquet")["html"].to_pylist()[:60] + [p for p, _ in PLAIN_PAGES]:
+        lines = ht._Lines()
+        lines.feed(page)
+        lines.close()
+        lines.cut()
+        own = [(t, n) for t, n, *_ in lines.lines]
+        assert ht.content_cluster([len(t) / max(1, n) for t, n in own]) == brute_cluster(own)
+
+
+def test_the_pages_without_their_marks(small_dir):
+    """The articles of the table are found by the cluster alone, their element being a plain one."""
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table(f"{small_dir}/pages.parquet")["html"].to_pylist():
+        bare = re.sub(r"<(/?)article>", r"<\1div>", page)
+        assert ht.main_text(bare) == plain(page)
+
+
+def test_a_long_page_with_nested_blocks():
+    body = "".join(f"<section><h3>Part {i}</h3><p>{LONG}</p><ul><li>item {i}</ul></section>" for i in range(400))
+    got = ht.main_text(f"<body>{LINKS}<div>{body}</div>{MOST}</body>")
+    assert got == " ".join(f"Part {i} {LONG.strip()} item {i}" for i in range(400))
