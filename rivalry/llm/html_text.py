@@ -11,8 +11,9 @@ them; all of its lines are text.  Everywhere else the cluster chooses:
 a *container* (what holds paragraphs, headings and list items) is content if
 at least half of its characters are cluster lines and links aren't most of its
 text.  Short lines grow with their container; a container that isn't content
-itself stays if it lies within a content container, or between content lines,
-and links aren't most of its text either; headlines stay if they lead to content.  Names only veto: lines
+itself stays if, after the first content line, it lies within a content
+container or before the last content line, and links aren't most of its text
+either; headlines stay if they lead to content.  Names only veto: lines
 in elements whose tag, role, class or id names them as menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles or reader comments
 belong to no region.
@@ -246,10 +247,10 @@ def grown(page: _Lines, cluster: list[bool]) -> list[bool]:
     for e in range(n - 1, 0, -1):
         leads[page.parents[e]] |= leads[e]
     at = [i for i, own in enumerate(holder) if own in content]
-    first, last = (at[0], at[-1]) if at else (0, len(holder))
+    first, last = (at[0], at[-1]) if at else (-1, len(holder))
     kept = []
     for i, ((_, _, _, head, _), own) in enumerate(zip(page.lines, holder)):
-        kept.append(own in content or text_like[own] and (within[own] or first < i < last) or head and i < last and leads[own])
+        kept.append(own in content or text_like[own] and i > first and (within[own] or i < last) or head and i < last and leads[own])
     return kept
 
 
