@@ -238,8 +238,10 @@ def build(vectors: DataFrame, top: int = TOP, shard_size: int = SHARD_SIZE) -> t
     spark = vectors.sparkSession
     folder = scratch(spark, "graphs")
     v, size = F.col("vec"), F.array_max(F.transform("vec", F.abs))
-    # Twice the logarithm of the norm to base 2, without overflow.
-    norm = F.log2(size) + F.log2(F.aggregate(v, F.lit(0.0), lambda s, x: s + (x / size) * (x / size))) / 2
+    squares = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
+    # The logarithm of the norm to base 2; the slower way where squares leave the range of a double.
+    norm = F.when(squares.between(1e-280, 1e280), F.log2(squares) / 2).otherwise(
+        F.log2(size) + F.log2(F.aggregate(v, F.lit(0.0), lambda s, x: s + (x / size) * (x / size))) / 2)
     held = staged(nodes(usable(vectors), top).withColumn("dim", F.size("vec")).withColumn("norm", F.rint(2 * norm).cast("int")),
                   "graph-nodes")
     sizes = held.groupBy("dim", "norm").agg(  # a row per vector length and power
