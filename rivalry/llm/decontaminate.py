@@ -7,7 +7,8 @@ may occur with up to ``k = floor(EDIT_RATE * m)`` edits.  It is split into
 intact, in or near its place.  An Aho-Corasick automaton over all pieces
 finds their exact hits in one pass over a text; each hit gives a window, and
 Myers' bit-parallel algorithm finds the smallest edit distance of the item to
-any part of it.
+any part of it.  An item that is too short for an edit (``k = 0``) must occur
+as whole words: its ends are borders of the normalised text's words.
 
 The documents stay where they are read: no shuffle, so documents that share a
 passage, however many, cost each its own verification.  The benchmark is the
@@ -98,7 +99,7 @@ class Matcher:
         """(item number, smallest distance, end in ``text``) of each item that occurs within its budget."""
         if not self.any or not text:
             return []
-        windows: dict[int, set[int]] = {}
+        windows, framed = {}, f" {text} "
         for last, (n, places) in self.tree.iter(text):
             for item, at in places:
                 windows.setdefault(item, set()).add(last + 1 - n - at)
@@ -107,6 +108,10 @@ class Matcher:
             pattern = self.items[item]
             m, k = len(pattern), int(self.rate * len(pattern))
             best, end = k + 1, -1
+            if not k:  # whole words: blanks or the text's ends beside them
+                starts = {s for s in starts if s >= 0 and framed.startswith(f" {pattern} ", s)}
+                if not starts:
+                    continue
             for s in starts:
                 if s >= 0 and text.startswith(pattern, s):
                     best, end = 0, min(s + m, end) if best == 0 else s + m

@@ -19,7 +19,11 @@ def brute_force(docs, items, rate=dc.EDIT_RATE):
     for doc_id, text in docs:
         for item_id, item in items:
             p = dc.normalise(item)
-            if p and (d := distance(p, dc.normalise(text))) <= int(rate * len(p)):
+            t = dc.normalise(text)
+            if p and not int(rate * len(p)):
+                if p.split() in [t.split()[i:i + len(p.split())] for i in range(len(t.split()))]:
+                    out.append((doc_id, item_id, 0))
+            elif p and (d := distance(p, t)) <= int(rate * len(p)):
                 out.append((doc_id, item_id, d))
     return sorted(out, key=str)
 
@@ -60,6 +64,16 @@ def test_edited_passages_equal_brute_force(spark, small_dir):
     assert {r.doc_id for r in dc.clean(frame, bench).collect()} == {d for d, _ in docs} - bad
 
 
+def test_short_items_are_whole_words(spark):
+    items = [(1, "a"), (2, "fine day"), (3, "Nother"), (4, "the day")]
+    docs = [(1, "Another fine day"), (2, "a"), (3, "It was a day."), (4, "a fine, day"), (5, "fine days"), (6, "refine day"),
+            (7, "thethe day"), (8, "nother nother")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance) for r in dc.leaks(frame, bench).collect())
+    assert got == brute_force(docs, items) == [(1, 2, 0), (2, 1, 0), (3, 1, 0), (4, 1, 0), (4, 2, 0), (8, 3, 0)]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
