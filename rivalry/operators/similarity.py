@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivalry.functions.joins import checked_broadcast
 from rivalry.functions.urls import normalise_url
 from rivalry.params import (OVERLAP_TOP_N, SWITCH_TOP_N, TYPE_DECLARED, TYPE_OVERLAP,
                             TYPE_SWITCH, TYPE_VOLUME)
+from rivalry.sources.tables import stored
 
 OUT_COLS = ["cid3", "brand_code_origin", "brand_code_similar", "similarity_type"]
 
@@ -19,24 +21,20 @@ def select_strong(df: DataFrame, *, origin: str, similar: str, score: str, top_n
     """Keep, per origin brand, the top-N partners scoring at least the category average.
 
     ``rank()`` by score descending within (category, origin) — ties kept;
-    the category average includes every row (self pairs too).  It is an
-    aggregate of two levels: sum and count per origin, on the partitioning
-    that the rank needs anyway, folded to the category.  It comes back on
-    (category, origin), so the pairs are shuffled once, never on the few
-    category keys alone, and their own computation is one exchange that both
-    sides read; nothing runs while the plan is built.
+    the category average includes every row (self pairs too).  Average and
+    rank both need all pairs, and the pairs come from a far larger log: they
+    are computed once and stored, the average is taken from the stored table
+    and broadcast back behind a size check, so the ranked pairs are not
+    shuffled again on the few category keys.
     ``strict`` selects ``score > avg`` instead of ``score >= avg``.
     """
     group = list(group)
+    pairs = stored(df, "pairs")
     w = Window.partitionBy(*group, origin).orderBy(F.col(score).desc())
-    ranked = df.withColumn("__rank", F.rank().over(w))
-    # The filter keeps sum and count where only the keys would be left, so that both uses are one computation.
-    per_origin = (df.groupBy(*group, origin).agg(F.sum(score).alias("__sum"), F.count(score).alias("__n"))
-                    .filter(F.col("__sum").isNotNull() & (F.col("__n") > 0)))
-    average = F.try_divide(F.sum("__sum"), F.sum("__n")).alias("__avg")
-    avg = per_origin.join(per_origin.groupBy(*group).agg(average), group).select(*group, origin, "__avg")
+    ranked = pairs.withColumn("__rank", F.rank().over(w))
+    avg = checked_broadcast(pairs.groupBy(*group).agg(F.avg(score).alias("__avg")))
     above = F.col(score) > F.col("__avg") if strict else F.col(score) >= F.col("__avg")
-    return (ranked.join(avg, [*group, origin])
+    return (ranked.join(avg, group)
                   .filter(above & (F.col("__rank") <= top_n))
                   .select(*group, F.col(origin).alias("brand_code_origin"),
                           F.col(similar).alias("brand_code_similar"),

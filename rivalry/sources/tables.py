@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from rivalry.session import checkpoint_folder
+
 _CACHE_ATTR = "_rivalry_tables"
 
 
@@ -24,3 +28,14 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if path not in cache:
         cache[path] = spark.read.parquet(path)
     return cache[path]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder of ``spark.checkpoint.dir``; ``df`` itself where the session
+    names no such folder."""
+    folder = checkpoint_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/rivalry-{name}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

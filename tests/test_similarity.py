@@ -117,6 +117,21 @@ def test_strict_and_non_strict_average(spark):
     assert sim.strong_overlap(ovl).count() == 0
 
 
+def test_pairs_are_computed_once(spark):
+    """Average and rank read the stored pairs: each row of the frame is computed a single time."""
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(x):
+        seen.add(1)
+        return x
+
+    rows = [("c", f"A{i % 7}", f"P{i}", 0.1 * (i % 9)) for i in range(120)]
+    df = spark.createDataFrame(rows, COV).withColumn("switch_prob", F.udf(see, "double")("switch_prob"))
+    assert sim.strong_coview(df).count() > 0 and seen.value == 120
+
+
 def test_merge_keeps_duplicates_across_types(spark):
     a = spark.createDataFrame([("c", "A", "B", "1")], "cid3 string, brand_code_origin string, "
                               "brand_code_similar string, similarity_type string")
