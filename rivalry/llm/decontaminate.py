@@ -167,6 +167,7 @@ def _finder(spark: SparkSession, block, rate: float):
     items = spark.sparkContext.broadcast(block)  # at most BLOCK_CHARS characters
     cache: list[Matcher] = []
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin()
         if not cache:
@@ -197,6 +198,7 @@ def _keeper(spark: SparkSession, block, rate: float, at: int):
     items = spark.sparkContext.broadcast([t for _, t in block])
     cache: list[Matcher] = []
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin()
         if not cache:

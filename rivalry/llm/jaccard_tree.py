@@ -99,6 +99,7 @@ def classes(docs: DataFrame, k: int = K) -> DataFrame:
     Rows with n = -1 are counts: ``key`` rows of a slice hold the shingle ``cls``.
     """
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin()
         for batch in batches:
@@ -133,6 +134,7 @@ def shared(docs: DataFrame, total: int, common: np.ndarray, k: int, num: int, de
     often = docs.sparkSession.sparkContext.broadcast(common)
     ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // RANGE)
 
+    @memory.tidy
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = often.value
 
@@ -164,6 +166,7 @@ def shared(docs: DataFrame, total: int, common: np.ndarray, k: int, num: int, de
         if gather.size:
             yield from sent(*gather.take())
 
+    @memory.tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for to, own in packed.by_key(batches):
             if to >= ranges:  # on their way to their classes
@@ -191,6 +194,7 @@ def shared(docs: DataFrame, total: int, common: np.ndarray, k: int, num: int, de
             yield packed.pack(packed.receivers(ta.mix(cls.view(np.uint64)), ranges), [
                 cls, full, np.minimum(df[order], 0xFFFFFFFE).astype(np.uint32)], ["cls", "toks", "df"])
 
+    @memory.tidy
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in packed.by_key(batches):
             cls, tok, df = packed.unpack(own, {1: np.int64, 2: np.uint64, 3: np.uint32})
@@ -346,6 +350,7 @@ def unit_links(n, toks, offs, labels, side, num: int, den: int) -> list[tuple[in
 def solve(members: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) within the units of ``members`` (unit long, cls, n, toks, label long, side int)."""
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin()
         for _, own in packed.by_key(batches):

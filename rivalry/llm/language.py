@@ -168,6 +168,7 @@ class Model:
         """Build the automata in tasks, a file each in the shared folder."""
         folder, shared = scratch(spark, "languages"), spark.sparkContext.broadcast(self)
 
+        @memory.tidy
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for k in batch.column(0).to_pylist():
@@ -259,6 +260,7 @@ def predict(docs: DataFrame, words: dict[str, list[str]], into: tuple[str, str]
     names = [f.name for f in schema.fields]
     at = [f.name for f in keep].index("text")
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin("languages")
         for batch in batches:

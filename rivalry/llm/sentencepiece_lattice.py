@@ -47,8 +47,9 @@ SPACE = "▁"
 MAX_SEGMENT = 62
 #: Added to a unigram model's smallest score for a character without a piece; the library's fixed value.
 UNKNOWN_PENALTY = -10.0
-#: Texts whose words a task looks up together, and words that it holds at most before it starts anew.
-TEXTS, HELD = 256, 150_000
+#: Texts whose words a task looks up together, words that it holds at most before it starts anew, and segments (by their
+#: hashes alone) that it knows it has sent.
+TEXTS, HELD, SENT = 256, 150_000, 2_000_000
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 PIECES = "piece string, id int, score double"
 _models: dict[int, Model] = memory.table("pieces")
@@ -83,7 +84,7 @@ class Model:
 
     @cached_property
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """(class of each code point, table of classes that stand side by side in a piece)."""
+        """(class of each code point, bits of the classes that stand side by side in a piece)."""
         side = {p[i:i + 2] for p, _, _ in self.rows for i in range(len(p) - 1)}
         chars = sorted({c for p in side for c in p})
         classes = np.zeros(0x110000, np.uint16)
@@ -92,6 +93,7 @@ class Model:
         table = np.zeros((len(chars) + 1, len(chars) + 1), bool)
         for a, b in side:
             table[classes[ord(a)], classes[ord(b)]] = True
+        table = np.packbits(table, axis=1)  # a bit for each pair
         return classes, table
 
     def segments(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -103,7 +105,7 @@ class Model:
         classes, table = self.pairs
         c = classes[keys]
         cut = np.ones(len(keys), bool)
-        cut[1:] = ~table[c[:-1], c[1:]]
+        cut[1:] = table[c[:-1], c[1:] >> 3] >> (7 - (c[1:] & 7)) & 1 == 0
         cut[offs[:-1]] = True
         starts = np.flatnonzero(cut)
         return keys, starts, np.append(starts[1:], len(keys)), np.searchsorted(starts, offs)
@@ -158,6 +160,7 @@ def distinct_segments(docs: DataFrame, proto) -> DataFrame:
     A task sends a segment once, so nothing is left to combine before the shuffle.
     """
 
+    @memory.tidy
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin("pieces")
         model, seen, sent = Model.of(proto.value), set(), np.zeros(0, np.uint64)
@@ -174,12 +177,16 @@ def distinct_segments(docs: DataFrame, proto) -> DataFrame:
                 short = ends - starts <= MAX_SEGMENT
                 starts, ends = starts[short], ends[short]
                 h, first = np.unique(ta.segment_hashes(keys, starts, ends), return_index=True)
-                fresh = ~np.isin(h, sent, assume_unique=True)
-                sent = np.union1d(sent, h)
+                place = np.searchsorted(sent, h)
+                fresh = np.append(sent, np.uint64(0))[place] != h
+                fresh |= place == len(sent)
+                sent = np.insert(sent, place[fresh], h[fresh])
                 text, first = ta.text_of(keys), first[fresh]
                 out = [text[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
                 if len(seen) > HELD:
-                    seen, sent = set(), np.zeros(0, np.uint64)
+                    seen = set()
+                if len(sent) > SENT:
+                    sent = np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array(out, pa.string())], ["h", "seg"])
 
     return docs.select("text").mapInArrow(local, "h long, seg string").repartition("h").dropDuplicates(["h", "seg"])
@@ -277,6 +284,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     names = [f.name for f in schema.fields]
     at = [f.name for f in keep].index("text")
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, own in _encoded(batches, at, Model.of(shared.value), folder):
             bounds = np.concatenate(([0], np.cumsum([len(x) // 4 for x in own])))
@@ -295,8 +303,6 @@ def _encoded(batches, at: int, model: Model, folder: str) -> Iterator[tuple[pa.R
             part = batch.slice(lo, TEXTS)
             texts = part.column(at).to_pylist()
             yield part, _looked_up(model, folder, texts, known)
-    known.clear()
-    memory.trim()
 
 
 def _looked_up(model: Model, folder: str, texts: list[str | None], known: dict[str, bytes]) -> list[bytes]:
@@ -324,6 +330,7 @@ def decode(frame: DataFrame, model_path: str) -> DataFrame:
     schema = T.StructType([*(f for f in frame.schema.fields if f.name in names), T.StructField("decoded", T.StringType())])
     at = names.index("ids")
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.of(shared.value)
         for batch in batches:
@@ -340,6 +347,7 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(_model_file(model_path))
     folder = learn(docs, shared)
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.of(shared.value)
         for part, own in _encoded(batches, 1, m, folder):

@@ -89,6 +89,7 @@ def build_sketch(docs: DataFrame, width: int, k: int) -> str:
     folder = scratch(docs.sparkSession, "sketch")
     parts = max(1, width // PART)
 
+    @memory.tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin("sketches")
         def sent(h: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -105,6 +106,7 @@ def build_sketch(docs: DataFrame, width: int, k: int) -> str:
         if gather.size:
             yield from sent(gather.take()[0])
 
+    @memory.tidy
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, own in packed.by_key(batches):
             once, twice = np.zeros(PART, bool), np.zeros(PART, bool)
@@ -181,6 +183,7 @@ def marks(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     folder = build_sketch(docs, width, k)
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), windows // GROUP)
 
+    @memory.tidy
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin("sketches")
         sketch = Sketch.of(folder, width)
@@ -208,6 +211,7 @@ def marks(docs: DataFrame, k: int = WINDOW) -> DataFrame:
 
     kinds = {1: np.uint64, 2: np.int64, 3: np.int64, 4: np.int32}
 
+    @memory.tidy
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for to, own in packed.by_key(batches):
             h, doc, key, pos = packed.unpack(own, kinds)
@@ -219,6 +223,7 @@ def marks(docs: DataFrame, k: int = WINDOW) -> DataFrame:
             order = np.lexsort((pos, key, doc))
             yield packed.pack(dest[order], [doc[order], key[order], pos[order]], ["doc", "key", "pos"])
 
+    @memory.tidy
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in packed.by_key(batches):
             doc, key, pos = packed.unpack(own, {1: np.int64, 2: np.int64, 3: np.int32})
@@ -246,6 +251,7 @@ def dedup(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     found = staged(marks(own, k), "repeats")
     joined = own.join(found, ["doc", "key"], "left").select("doc_id", "text", "starts")
 
+    @memory.tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2)

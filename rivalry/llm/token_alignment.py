@@ -259,6 +259,7 @@ def _slices(texts: pa.Array) -> Iterator[list[str | None]]:
 def short(docs: DataFrame, models, receivers: int) -> DataFrame:
     """``_ROWS`` of texts that are one fragment each, made where they are read."""
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory.begin("aligners", "pieces")
         aligner, units = Aligner.of(*models.value), Units(receivers)
@@ -294,6 +295,7 @@ def windows(docs: DataFrame) -> DataFrame:
     between them stay together, so that no text is encoded more than about twice."""
     keyed = staged(docs.withColumn("long_key", F.monotonically_increasing_id()), "long-texts")
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, text, key in zip(*(batch.column(c).to_pylist() for c in range(3))):
@@ -363,6 +365,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def fragments(found: DataFrame, models) -> DataFrame:
     """Fragments and closed groups (``_FRAGMENT``) of windows; ranges of one window are composed here."""
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner.of(*models.value)
         for batch in batches:
@@ -446,6 +449,7 @@ def digests(groups: DataFrame, models, parts: int) -> DataFrame:
     """(long_key, n_groups, n_links, groups_sha256): the groups' rows stream by in order, none is held."""
     names = ["long_key", "n_groups", "n_links", "groups_sha256"]
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, key, h, n, of = Aligner.of(*models.value), None, None, 0, 0
         for batch in batches:
@@ -469,6 +473,7 @@ def digests(groups: DataFrame, models, parts: int) -> DataFrame:
 def long_pairs(groups: DataFrame, receivers: int) -> DataFrame:
     """``_ROWS`` of the distinct pairs of long texts; a text's pairs may stand in several rows, each pair in one."""
 
+    @memory.tidy
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, *row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -477,6 +482,7 @@ def long_pairs(groups: DataFrame, receivers: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key)), pa.array(pairs[at]), pa.array(times)],
                                                  ["long_key", "code", "times"])
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = Units(receivers, 1 << 24)
         for batch in batches:
@@ -494,6 +500,7 @@ def answers(rows: DataFrame, receivers: int) -> DataFrame:
     """(unit, at, total, best): for the pairs of each unit, in how many documents they are, and whether that is their A id's most."""
     sent = rows.filter("to IS NOT NULL").select("to", "unit", "at", "pairs", "held")
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in packed.by_key(batches):
             held = [row for b in own for row in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4)))]
@@ -528,6 +535,7 @@ def counted(rows: DataFrame, receivers: int) -> DataFrame:
     met = told.unionByName(docs).repartition(parts, "unit").sortWithinPartitions("unit", F.col("best").isNull())
     names = [*_KEPT, "n_best", "count_sum"]
 
+    @memory.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, total, best = None, None, None
         for own, parts in packed.by_key(batches):

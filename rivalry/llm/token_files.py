@@ -191,6 +191,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, folder: st
     folder = folder or scratch(spark, "tokens")
     docs = docs.select("doc_id", "text")
 
+    @memory.tidy
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = TaskContext.get().partitionId()
         doc_ids, sizes = [], []
@@ -241,6 +242,7 @@ def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     m = manifest(folder)
     width, rows = m["dtype"], [(p["part"], p["base"]) for p in m["parts"]]
 
+    @memory.tidy
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
