@@ -62,7 +62,8 @@ def document_windows(cps: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndar
 
 def _cells(h: np.ndarray, depth: int, width: int) -> np.ndarray:
     """Counter of each window in a row of the sketch."""
-    return ta.mix(h ^ (_SALT * np.uint64(depth + 1))) & np.uint64(width - 1)
+    salt = np.uint64(int(_SALT) * (depth + 1) & ((1 << 64) - 1))
+    return ta.mix(h ^ salt) & np.uint64(width - 1)
 
 
 def _steps(cells: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
