@@ -71,26 +71,34 @@ def derive_sku_dim(spark: SparkSession, data_dir: str) -> DataFrame:
                                           F.lit(1).cast("int"), STALE_DIM_DATE))))
 
 
+def _dated_lines(spark: SparkSession, data_dir: str, *more: str) -> DataFrame:
+    """(l_orderkey, l_partkey, amount, qty) of each order line, with the columns ``more`` of its order's rows.
+
+    The amounts are made before the join, so its shuffle carries them instead of what they are made of.
+    """
+    key = F.col("l_orderkey")
+    amount = (F.col("l_extendedprice").cast("decimal(12,2)")
+              * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")))
+    li = read_table(spark, data_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", F.when(key % 19 == 0, -amount).otherwise(amount).cast(AMOUNT_TYPE).alias("amount"),
+        F.when(key % 23 == 0, F.lit(0.0)).otherwise(F.col("l_quantity")).alias("qty"))
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("dt"))
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(*more, "l_partkey", "dt", "amount", "qty")
+
+
 def derive_order_det(spark: SparkSession, data_dir: str) -> DataFrame:
     """Order lines (sku_id, cid3, brand_code, okey, dt, amount decimal, qty).
 
     The orders of some keys are returns (negative amount) or have no quantity.
     """
-    li = read_table(spark, data_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_quantity")
-    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_orderdate")
+    lines = _dated_lines(spark, data_dir, "l_orderkey")
     p = read_table(spark, data_dir, "part").select("p_partkey", "p_type", "p_brand")
-    amount = (F.col("l_extendedprice").cast("decimal(12,2)")
-              * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")))
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(p, li.l_partkey == p.p_partkey)
-              .select(F.col("l_partkey").alias("sku_id"),
-                      F.col("p_type").alias("cid3"),
-                      F.col("p_brand").alias("brand_code"),
-                      F.col("l_orderkey").alias("okey"),
-                      F.to_date("o_orderdate").alias("dt"),
-                      (F.when(F.col("l_orderkey") % 19 == 0, -amount).otherwise(amount)).cast(AMOUNT_TYPE).alias("amount"),
-                      F.when(F.col("l_orderkey") % 23 == 0, F.lit(0.0)).otherwise(F.col("l_quantity")).alias("qty")))
+    return (lines.join(p, lines.l_partkey == p.p_partkey)
+                 .select(F.col("l_partkey").alias("sku_id"),
+                         F.col("p_type").alias("cid3"),
+                         F.col("p_brand").alias("brand_code"),
+                         F.col("l_orderkey").alias("okey"),
+                         "dt", "amount", "qty"))
 
 
 def derive_sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -100,20 +108,24 @@ def derive_sku_switch(spark: SparkSession, data_dir: str) -> DataFrame:
     Σ over orders of k_src·k_dst (k = lines of the SKU in the order, same
     category, self pairs included); the probability is n over the source's
     total, floored to six decimals.  Each year of orders is one dated
-    snapshot; the last one is dated differently by category.  The counts are
-    pre-aggregated per order before the self-join, so each order contributes
-    one row per SKU pair.
+    snapshot; the last one is dated differently by category.  The lines are
+    dealt once by order, where they are counted and paired without a join
+    (an order's SKUs are bounded by its lines), and the pairs once by source,
+    which serves their sums and the source's total.
     """
     od = order_det(spark, data_dir)
-    k = (od.groupBy(F.year("dt").alias("yr"), "okey", "cid3", "sku_id")
-           .agg(F.count(F.lit(1)).alias("k")))
-    a = k.select("yr", "okey", "cid3", F.col("sku_id").alias("src_item_id"), F.col("k").alias("ka"))
-    b = k.select("yr", "okey", "cid3", F.col("sku_id").alias("dst_item_id"), F.col("k").alias("kb"))
-    n = (a.join(b, ["yr", "okey", "cid3"])
-          .groupBy("yr", "cid3", "src_item_id", "dst_item_id")
-          .agg(F.sum(F.col("ka") * F.col("kb")).alias("n")))
+    basket = ["yr", "okey", "cid3"]
+    lines = od.select(F.year("dt").alias("yr"), "okey", "cid3", "sku_id").dropna(subset=basket)
+    k = lines.repartition(*basket).groupBy(*basket, "sku_id").agg(F.count(F.lit(1)).alias("k"))
+    held = k.groupBy(*basket).agg(F.collect_list(F.struct("sku_id", "k")).alias("skus"))
+    a = held.select("yr", "cid3", "skus", F.explode("skus").alias("a"))
+    pairs = a.select("yr", "cid3", "a", F.explode("skus").alias("b")).select(
+        "yr", "cid3", F.col("a.sku_id").alias("src_item_id"), F.col("b.sku_id").alias("dst_item_id"),
+        (F.col("a.k") * F.col("b.k")).alias("n"))
+    source = ["yr", "cid3", "src_item_id"]
+    n = pairs.repartition(*source).groupBy(*source, "dst_item_id").agg(F.sum("n").alias("n"))
     # A source SKU's partners are bounded by the SKUs it shares orders with.
-    tot = F.sum("n").over(Window.partitionBy("yr", "cid3", "src_item_id"))
+    tot = F.sum("n").over(Window.partitionBy(*source))
     q = F.expr(f"(n * {PROB_SCALE}) div tot")
     prob = (q.cast("double") / PROB_SCALE).cast("decimal(10,6)")
     last = F.when(F.length("cid3") % 2 == 0, F.lit(ORDER_RUN_DATE)).otherwise(F.lit(OTHER_SWITCH_DATE))
@@ -260,7 +272,8 @@ def _stored(name: str, derive, by_day: bool = False):
                 return derived
             tag = hashlib.sha1(key[0].encode()).hexdigest()[:12]
             path = f"{folder.rstrip('/')}/rivalry-inputs/{tag}/{name}"
-            writer = derived.repartition("dt").write.partitionBy("dt") if by_day else derived.write
+            # A day's rows go to one task unless they are many: Spark splits a rebalanced partition that is large.
+            writer = derived.hint("rebalance", F.col("dt")).write.partitionBy("dt") if by_day else derived.write
             writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
             store[key] = spark.read.schema(derived.schema).parquet(path)
         return store[key]
