@@ -211,14 +211,20 @@ def derive_sku_sales(spark: SparkSession, data_dir: str) -> DataFrame:
     """I8: daily SKU sales (cid3, brand_code, sku_id, gmv decimal, sale_qtty, dt).
 
     Some SKUs sell for the same sum every day; one brand has net returns in some categories.
+    The lines are dealt once by SKU, which serves the sums and the join; a SKU's
+    categories and brands meet its daily sums instead of its lines, each as often as ``part`` lists it.
     """
-    total = F.when(F.col("sku_id") % 10 == 0, F.lit(500).cast("decimal(22,4)")).otherwise(F.col("total"))
+    lines = _dated_lines(spark, data_dir).dropna(subset=["l_partkey"]).repartition("l_partkey")
+    sums = lines.groupBy("l_partkey", "dt").agg(F.sum("amount").alias("amount"), F.sum("qty").alias("qty"))
+    p = (read_table(spark, data_dir, "part").groupBy("p_partkey", F.col("p_type").alias("cid3"), F.col("p_brand").alias("brand_code"))
+         .agg(F.count(F.lit(1)).alias("times")))
+    sold = (sums.join(p, sums.l_partkey == p.p_partkey)
+                .select("cid3", "brand_code", F.col("l_partkey").alias("sku_id"), "dt",
+                        (F.col("amount") * F.col("times")).cast(GMV_TYPE).alias("sum"), (F.col("qty") * F.col("times")).alias("sale_qtty")))
+    total = F.when(F.col("sku_id") % 10 == 0, F.lit(500).cast("decimal(22,4)")).otherwise(F.col("sum"))
     returns = (F.col("brand_code") == "Brand#1") & (F.length("cid3") == 5)
-    return (order_det(spark, data_dir)
-            .groupBy("cid3", "brand_code", "sku_id", "dt")
-            .agg(F.sum("amount").cast(GMV_TYPE).alias("total"), F.sum("qty").alias("sale_qtty"))
-            .select("cid3", "brand_code", "sku_id", "dt",
-                    F.when(returns, -F.abs(total)).otherwise(total).cast(GMV_TYPE).alias("gmv"), "sale_qtty"))
+    return sold.select("cid3", "brand_code", "sku_id", "dt",
+                       F.when(returns, -F.abs(total)).otherwise(total).cast(GMV_TYPE).alias("gmv"), "sale_qtty")
 
 
 def derive_declared_links(spark: SparkSession, data_dir: str) -> DataFrame:

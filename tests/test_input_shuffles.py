@@ -80,3 +80,21 @@ def test_a_large_day_is_stored_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.unset(key)
     assert df.count() == 60000 and len(df.inputFiles()) > 1
+
+
+def test_daily_sales_equal_the_sums_of_the_order_lines(spark, small_dir, odd_dir):
+    for folder in (small_dir, odd_dir):
+        total = F.when(F.col("sku_id") % 10 == 0, F.lit(500).cast("decimal(22,4)")).otherwise(F.col("total"))
+        returns = (F.col("brand_code") == "Brand#1") & (F.length("cid3") == 5)
+        want = (fx.derive_order_det(spark, folder).groupBy("cid3", "brand_code", "sku_id", "dt")
+                .agg(F.sum("amount").cast("decimal(22,4)").alias("total"), F.sum("qty").alias("sale_qtty"))
+                .select("cid3", "brand_code", "sku_id", "dt",
+                        F.when(returns, -F.abs(total)).otherwise(total).cast("decimal(22,4)").alias("gmv"), "sale_qtty"))
+        found = fx.derive_sku_sales(spark, folder)
+        assert found.schema.simpleString() == want.schema.simpleString()
+        assert _rows(found) == _rows(want) and want.count()
+
+
+def test_sales_lines_are_dealt_by_order_and_by_sku_only(spark, small_dir, shuffled_joins):
+    keys = [k for k in _dealt(fx.derive_sku_sales(spark, small_dir)) if k.startswith("l_")]
+    assert len(keys) == 2 and keys[0].startswith("l_partkey") != keys[1].startswith("l_partkey")
