@@ -81,7 +81,7 @@ def sku_overlap_pooled(sym: DataFrame, by_bitmaps: bool = False) -> DataFrame:
     if by_bitmaps:
         keys = ["brand_code1", "brand_name1", "brand_code2", "brand_name2"]
         maps = distinct.bitmaps(sym, keys, "main_sku_id1")
-        num = maps.groupBy(*keys).agg(F.sum(F.bitmap_count(F.col("bits"))).alias("match_sku_num"))
+        num = maps.groupBy(*keys).agg(F.sum(F.bit_count("bits")).alias("match_sku_num"))
         den = distinct.counts(maps, ["brand_code1"], "sku_num")
         return _pooled(num, den)
     num = (sym.groupBy("brand_code1", "brand_name1", "brand_code2", "brand_name2")

@@ -191,8 +191,10 @@ def derive_sku_match(spark: SparkSession, data_dir: str) -> DataFrame:
     pairs are listed in both directions; some are in the older snapshot only.
     """
     p = read_table(spark, data_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    li = (read_table(spark, data_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
-          .join(p.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey"))
+    # Dealt once by (order, name): that serves the distinct lines and both sides of the join.
+    li = (read_table(spark, data_dir, "lineitem").select("l_orderkey", "l_partkey")
+          .join(p.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+          .dropna(subset=["l_orderkey", "p_name"]).repartition("l_orderkey", "p_name").distinct())
     a = li.select("l_orderkey", "p_name", F.col("l_partkey").alias("a"))
     b = li.select("l_orderkey", "p_name", F.col("l_partkey").alias("b"))
     pairs = a.join(b, ["l_orderkey", "p_name"]).filter("a < b").select("a", "b").distinct()

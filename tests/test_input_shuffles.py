@@ -82,6 +82,27 @@ def test_a_large_day_is_stored_by_several_tasks(spark, tmp_path):
     assert df.count() == 60000 and len(df.inputFiles()) > 1
 
 
+def test_kept_bitmaps_are_small_and_exact(spark, tmp_path):
+    from rivalry.operators import distinct
+
+    end, ids = dt.date(2001, 7, 31), [-65, -64, -1, 0, 1, 63, 64, 127, 32768, 2**62, -(2**63), 2**63 - 1]
+    rows = [(c, "b", i, 1.0, d) for c in ("x", None) for i in ids for d in (end, end, end - dt.timedelta(1))]
+    rows += [("x", "b", None, 1.0, end), ("x", "b", 7, 0.0, end), ("x", "b", 8, None, end)]
+    sales = spark.createDataFrame(rows, "cid3 string, brand_code string, sku_id bigint, sale_qtty double, dt date")
+    distinct.store_sold(sales, out := str(tmp_path / "maps"))
+    daily = spark.read.schema("dt date, cid3 string, brand_code string, bucket bigint, bits binary, month string").parquet(out)
+    assert {r[0] for r in daily.select(F.octet_length("bits")).distinct().collect()} == {8}
+    for days in (0, 1):
+        found = distinct.sold_in_window(daily, end=end, days=days).collect()
+        assert {r.cid3: r.sku_num for r in found} == {"x": len(ids), None: len(ids)}
+
+
+def test_matched_lines_are_dealt_once_for_both_sides(spark, small_dir, odd_dir, shuffled_joins):
+    found = {(r.main_sku_id1, r.main_sku_id2) for r in fx.derive_sku_match(spark, odd_dir).collect()}
+    assert found == {(10, 11)}
+    assert not [k for k in _dealt(fx.derive_sku_match(spark, small_dir)) if k.startswith("l_orderkey") and "l_partkey" in k]
+
+
 def test_daily_sales_equal_the_sums_of_the_order_lines(spark, small_dir, odd_dir):
     for folder in (small_dir, odd_dir):
         total = F.when(F.col("sku_id") % 10 == 0, F.lit(500).cast("decimal(22,4)")).otherwise(F.col("total"))
