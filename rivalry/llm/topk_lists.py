@@ -12,10 +12,12 @@ its score.  What a list still holds adds at most its last value read and at
 least the value at its other end, so every vector has an upper and a lower
 bound.  Vectors whose upper bound is below the ``top``-th score that is
 certain are out, those never seen first; a shard whose first values can't
-reach it isn't read.  When a row of each vector left is less to read than
-the lists' next step, their final scores are resolved and merged.  Each
-(query, group) hands on its ``top``, merged by a ranked window whose limit
-comes before the shuffle.
+reach it isn't read.  When the vectors left cost less to read than the lists'
+next step, their final scores are resolved and merged: a component of a row is
+one of a product, an entry of a list takes several passes (``RESOLVE``).  A
+query begins with the shard whose heads promise most, so that the others meet
+a score that is high already.  Each (query, group) hands on its ``top``,
+merged by a ranked window whose limit comes before the shuffle.
 
 Equal vectors are one entry with the smallest ``top + 1`` ids of their rows
 (no more can be among the first), so a vector that a third of all rows share
@@ -49,6 +51,8 @@ from rivalry.llm.textarrays import flat_ranges
 TOP, SCALE = 10, 1024
 #: Components of a shard on average: bounds a task's memory; vectors of a shard that its first read of the lists covers.
 ENTRIES, FIRST = 1 << 19, 16
+#: Components of rows that cost as much to multiply as one entry of a list to read, at least.
+RESOLVE = 8
 #: Queries and shards of one row of work.
 QUERIES, SHARDS = 64, 16
 #: Whole numbers below this are exact in double precision, with room for differences of two sums.
@@ -145,7 +149,7 @@ class Lists:
             return np.zeros(0, np.int64)
         alive, at, seen, low = np.arange(self.n), 0, np.zeros(self.n), np.full(self.n, least.sum())
         step = max(1, self.n // FIRST)
-        while len(alive) > step and at < self.n and len(w):
+        while len(alive) > RESOLVE * step and at < self.n and len(w):
             to = min(self.n, at + step)
             rows, vals = self._read(up, down, at, to)
             flat = rows.ravel()
@@ -153,7 +157,7 @@ class Lists:
             seen += np.bincount(flat, got.ravel(), self.n)
             low += np.bincount(flat, (got - least[:, None]).ravel(), self.n)
             front = got[:, -1]
-            every = self._read(up, down, 0, to)[0].ravel()
+            every = self._read(up, down, 0, to)[0].ravel() if at else flat
             high = seen + front.sum() - np.bincount(every, np.repeat(front, to), self.n)
             # One place more: the query's own row may be among them.
             if self.n > top:
@@ -171,7 +175,7 @@ class Lists:
         if not len(q):
             return [0] * len(rows)
         if not self.beyond(q):
-            return (self.vecs[rows] @ q).astype(np.int64).tolist()
+            return ((self.vecs if len(rows) == self.n else self.vecs[rows]) @ q).astype(np.int64).tolist()
         own = [int(x) for x in q.tolist()]
         return [min(LONG, max(-LONG - 1, sum(a * int(b) for a, b in zip(own, v)))) for v in self.vecs[rows].tolist()]
 
@@ -194,6 +198,21 @@ class Lists:
         return heapq.nsmallest(top, found + more)
 
 
+def in_order(lists: list[Lists], items: list[tuple[int, np.ndarray]], top: int) -> list[list[tuple[int, int]]]:
+    """The best (-score, vec_id) of each query (vec_id, vector) in some shards: the most promising shard first, then a
+    shard at a time for all queries."""
+    q = np.array([x for _, x in items])
+    with np.errstate(all="ignore"):  # only an order: the search itself minds what is beyond double precision
+        heads = [np.maximum(q, 0) @ x.vals[:, -1] + np.minimum(q, 0) @ x.vals[:, 0] for x in lists]
+    first = np.argmax(np.nan_to_num(heads), axis=0)
+    found = [[] for _ in items]
+    for begins in (True, False):
+        for s, x in enumerate(lists):
+            for k in np.flatnonzero((first == s) == begins).tolist():
+                found[k] = x.best(*items[k], found[k], top)
+    return found
+
+
 def search(index: tuple[str, DataFrame], queries: DataFrame, top: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` of each row of ``queries`` (vec_id, embedding) among all others."""
     folder, shards = index
@@ -211,13 +230,10 @@ def search(index: tuple[str, DataFrame], queries: DataFrame, top: int = TOP) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, queries, shards in zip(*(batch.column(c) for c in range(3))):
-                items = [((x["vec_id"], x["copy"]), np.array(x["vec"], float)) for x in queries.as_py()]
-                found = [[] for _ in items]
-                for x in shards.as_py():
-                    lists = Lists(f"{folder}/{x['shard']}", x["n"], dim.as_py())
-                    for k, (own, q) in enumerate(items):
-                        found[k] = lists.best(own[0], q, found[k], top)
-                rows = [(*own, i, -s) for k, (own, _) in enumerate(items) for s, i in found[k]]
+                own = queries.as_py()
+                lists = [Lists(f"{folder}/{x['shard']}", x["n"], dim.as_py()) for x in shards.as_py()]
+                found = in_order(lists, [(x["vec_id"], np.array(x["vec"], float)) for x in own], top)
+                rows = [(x["vec_id"], x["copy"], i, -s) for x, best in zip(own, found) for s, i in best]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                                      ["query_id", "copy", "vec_id", "score"])

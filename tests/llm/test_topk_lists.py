@@ -67,6 +67,18 @@ def test_reading_stops_early(spark):
     assert len(lists.candidates(x[7], float(np.abs(x).sum(1).max() ** 2), 10)) == 0 and not deepest
 
 
+def test_rows_are_resolved_where_lists_cost_more(spark):
+    """Without clusters the bounds tighten late: the lists are left for final scores long before their ends."""
+    x = np.floor(1024 * np.random.default_rng(3).normal(size=(4000, 32)))
+    by = np.argsort(x.T, axis=1)
+    lists = tk.Lists.__new__(tk.Lists)
+    lists.n, lists.rows, lists.vals, lists.vecs = 4000, by.astype("i4"), np.take_along_axis(x.T, by, 1), x
+    deepest, read = [], lists._read
+    lists._read = lambda up, down, a, b: deepest.append(b) or read(up, down, a, b)
+    rows = lists.candidates(x[7], -np.inf, 10)
+    assert 0 < max(deepest) <= 1000 and set(np.argsort(-(x @ x[7]))[:11]) <= set(rows)
+
+
 ODD = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0]), (4, None), (5, []), (200, []), (300, [0.0, 0.0]),
        (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (9, [None, 1.0]), (None, [1.0, 1.0]), (10, [0.0, -2.0]),
        (400, [1.0, 2.0, 3.0]), (400, [3.0, 2.0, -1.0]), (41, [3.0, 2.0, 1.0]), (500, [5.0]), (600, [1e300, -1e300]),
