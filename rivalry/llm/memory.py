@@ -13,6 +13,8 @@ import ctypes
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+import pyarrow as pa
+
 _tables: dict[str, dict] = {}
 
 
@@ -31,7 +33,8 @@ def begin(*names: str) -> None:
 
 
 def trim() -> None:
-    """Give freed memory back, where the C library can."""
+    """Give freed memory back: Arrow's, which has a pool of its own, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library than glibc

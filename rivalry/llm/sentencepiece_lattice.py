@@ -63,17 +63,15 @@ class Model:
 
         self.library = sentencepiece.SentencePieceProcessor(model_proto=proto)
         sp = self.library
-        n = len(sp)
-        self.rows = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in range(n)
-                     if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.first_byte = byte_ids[0]
         probe = "ﬁ １　 é İ\t x  "
         if byte_ids != list(range(self.first_byte, self.first_byte + 256)) or sp.decode(sp.encode(probe)) != probe:
             raise ValueError("the model must leave texts as they are, add a space before, and fall back to bytes")
-        if any(SPACE in p.lstrip(SPACE) for p, _, _ in self.rows):
+        rows = self.rows()
+        if any(SPACE in p.lstrip(SPACE) for p, _, _ in rows):
             raise ValueError("a piece of the model crosses words")
-        self.longest = max((len(p) for p, _, _ in self.rows), default=1)
+        self.longest = max((len(p) for p, _, _ in rows), default=1)
 
     @classmethod
     def of(cls, proto: bytes) -> Model:
@@ -82,10 +80,16 @@ class Model:
             _models[key] = cls(proto)
         return _models[key]
 
+    def rows(self) -> list[tuple[str, int, float]]:
+        """The piece table; not kept, as every worker has the model."""
+        sp = self.library
+        return [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in range(len(sp))
+                if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+
     @cached_property
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """(class of each code point, bits of the classes that stand side by side in a piece)."""
-        side = {p[i:i + 2] for p, _, _ in self.rows for i in range(len(p) - 1)}
+        side = {p[i:i + 2] for p, _, _ in self.rows() for i in range(len(p) - 1)}
         chars = sorted({c for p in side for c in p})
         classes = np.zeros(0x110000, np.uint16)
         for i, c in enumerate(chars):
@@ -271,7 +275,7 @@ def learn(docs: DataFrame, proto) -> str:
     """
     model = Model.of(proto.value)
     segs = distinct_segments(docs, proto)
-    pieces = docs.sparkSession.createDataFrame(model.rows, PIECES)
+    pieces = docs.sparkSession.createDataFrame(model.rows(), PIECES)
     return dictionary.build(fold_bpe(lattice(segs, pieces, model.longest), model.first_byte))
 
 

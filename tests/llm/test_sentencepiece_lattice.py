@@ -104,3 +104,19 @@ def test_fold_stays_in_the_jvm(spark):
                                                     sl.PIECES), 2)
     out = sl.fold_bpe(edges, 3).withColumn("n", F.size("ids"))
     assert "Python" not in out._jdf.queryExecution().toString() and out.first().ids == [300, 301]
+
+
+def test_freed_arrow_memory_goes_back(monkeypatch):
+    """A worker that ends a task gives back what Arrow's pool holds unused, and keeps no piece table."""
+    import pyarrow as pa
+
+    from rivalry.llm import memory
+
+    asked = []
+
+    class Pool:
+        def release_unused(self):
+            asked.append(True)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    assert list(memory.tidy(lambda x: iter(x))([1, 2])) == [1, 2] and asked
