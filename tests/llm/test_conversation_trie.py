@@ -101,9 +101,9 @@ def test_oracle_agrees_with_brute_force(spark):
 
     con = duckdb.connect()
     con.execute("CREATE VIEW conversations AS SELECT * FROM read_parquet('/root/testdata/sf0.001/conversations.parquet')")
-    res = con.execute(ct.ORACLE)
-    cols = [c[0] for c in res.description]
     rows = con.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    res = con.execute(ct.ORACLE)  # last: a connection holds the result of one statement
+    cols = [c[0] for c in res.description]
     found = {(r["conv_id"], r["depth"]): tuple(r[c] for c in (
         "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"))
         for r in (dict(zip(cols, x)) for x in res.fetchall())}
